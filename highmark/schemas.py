@@ -87,9 +87,9 @@ MONTH_LEDGER = T.StructType(
 HISTORY_LEDGER = T.StructType(
     [
         T.StructField("station_id", T.StringType()),
+        T.StructField("event", T.StringType()),
         T.StructField("earliest", T.DateType()),
         T.StructField("n_rows", T.LongType()),
-        T.StructField("complete", T.BooleanType()),
         T.StructField("seq", T.LongType()),
     ]
 )
