@@ -25,15 +25,23 @@ PREVIOUS_RUN = X.AS_OF - timedelta(days=180)
 
 
 class Run:
-    """The inputs and derived tables of one role, all lazy."""
+    """The inputs and derived tables of one role, all lazy.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, role: str):
+    Documents read the ladder many times; like in the daily cycle it is then a stored table.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, role: str, stored: bool = False):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.p = PARAMS[role]
         self.obs = X.observations(spark, sf_dir, role)
         self.stations = X.stations(spark, sf_dir, role)
         self.events = ladder.record_events(self.obs, self.p)
         self.coverage = coverage.station_coverage(self.obs, self.p)
+        if stored:
+            folder = work_folder(spark, role)
+            for name in ("obs", "events", "coverage"):
+                getattr(self, name).write.parquet(f"{folder}/{name}")
+                setattr(self, name, spark.read.parquet(f"{folder}/{name}"))
         self.read_model = (self.events, self.coverage, self.stations)
         if role == "supplier":
             self.aliases = X.aliases(spark, sf_dir)
@@ -41,8 +49,8 @@ class Run:
             self.groups = stats.group_lookup(self.stations, self.aliases)
 
 
-def _over(role: str, job: Callable[[Run], DataFrame]) -> Query:
-    return lambda spark, sf_dir: job(Run(spark, sf_dir, role))
+def _over(role: str, job: Callable[[Run], DataFrame], stored: bool = False) -> Query:
+    return lambda spark, sf_dir: job(Run(spark, sf_dir, role, stored))
 
 
 def _from(source: Callable[[SparkSession, str], DataFrame], job: Callable[[DataFrame], DataFrame]) -> Query:
@@ -240,19 +248,19 @@ def queries() -> dict[str, Query]:
         "group_meta": _over("supplier", _group_meta),
         "dense_stats_yearly": _dense(False),
         "dense_stats_monthly": _dense(True),
-        "stats_document": _over("supplier", _stats_document),
+        "stats_document": _over("supplier", _stats_document, stored=True),
         # leaderboards
         "current_alltime_dates": _over("part", lambda r: rankings.current_alltime_dates(r.events)),
         "recent_records": _over("part", lambda r: rankings.recent_records(*r.read_model)),
         "largest_margins": _over("part", lambda r: rankings.largest_margins(*r.read_model)),
-        "rankings_document": _over("part", _rankings_document),
+        "rankings_document": _over("part", _rankings_document, stored=True),
         # per-station read models
         "station_summary": _over("part", lambda r: st.station_summary(*r.read_model, r.p)),
         "current_alltime": _over("part", lambda r: st.current_alltime(r.events)),
         "current_monthly": _over("supplier", lambda r: st.current_monthly(r.events)),
         "last_record": _over("part", lambda r: st.last_record(r.events)),
         "event_timeline": _over("part", lambda r: st.event_timeline(r.events)),
-        "station_documents": _over("supplier", _station_documents),
+        "station_documents": _over("supplier", _station_documents, stored=True),
         "publication_delta": _over("part", _published),
         # planning
         "ingest_plan_months": _months,

@@ -89,39 +89,34 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
     date and ``path``. A file with an impossible date or without the four columns gives
     nothing. If several files declare one day, the last requested one stands.
     """
-    declared = _declared_date_text(F.col("text"))
     requested = (
         F.col("requested_date") if "requested_date" in files.columns else F.lit(None).cast("date")
     )
     path = F.col("path") if "path" in files.columns else F.lit("")
-    parsed = (
-        files.select(
-            F.when(declared.isNull(), requested).otherwise(C.iso_date(declared)).alias("obs_date"),
-            requested.alias("requested_date"),
-            path.alias("path"),
-            _records(F.col("text")).alias("records"),
-        )
-        .filter(F.col("obs_date").isNotNull())
-        .withColumn(
-            "header_at",
-            F.array_position(
-                F.transform(
-                    "records",
-                    lambda r: _all([F.exists(r, test) for test in HEADER_TESTS.values()]),
-                ),
-                F.lit(True),
-            ),
-        )
-        .filter(F.col("header_at") > 0)
-        .withColumn("header", F.element_at("records", F.col("header_at").cast("int")))
-        .withColumns(
-            {f"{c}_at": _last_index(F.col("header"), test) for c, test in HEADER_TESTS.items()}
-        )
+    parsed = _once(
+        files,
+        _declared_date_text(F.col("text")).alias("declared"),
+        requested.alias("requested_date"),
+        path.alias("path"),
+        _records(F.col("text")).alias("records"),
+    )
+    header_at = F.array_position(
+        F.transform("records", lambda r: _all([F.exists(r, t) for t in HEADER_TESTS.values()])),
+        F.lit(True),
+    ).cast("int")
+    header = F.try_element_at("records", F.nullif("header_at", F.lit(0)))
+    located = _once(parsed, *map(F.col, parsed.columns), header_at.alias("header_at")).select(
+        F.when(F.col("declared").isNull(), F.col("requested_date"))
+        .otherwise(C.iso_date(F.col("declared")))
+        .alias("obs_date"),
+        "requested_date", "path", "records", "header_at",
+        *[_last_index(header, test).alias(f"{c}_at") for c, test in HEADER_TESTS.items()],
     )
     places = [F.col(f"{c}_at") for c in HEADER_TESTS]
-    rows = F.filter(
-        F.slice("records", F.col("header_at").cast("int") + 1, F.size("records")),
-        lambda r: F.size(r) > F.greatest(*places),
+    after_header = F.slice("records", F.col("header_at") + 1, F.size("records"))
+    rows = F.when(
+        F.col("header_at") > 0,
+        F.filter(after_header, lambda r: F.size(r) > F.greatest(*places)),
     )
     newest = Window.partitionBy("obs_date").orderBy(
         F.desc_nulls_last("requested_date"), F.desc("path")
@@ -130,10 +125,10 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
     def cell(column: str) -> Column:
         return F.get("record", F.col(f"{column}_at"))
 
+    kept = ["obs_date", "requested_date", "path", *[f"{c}_at" for c in HEADER_TESTS]]
     return (
-        parsed.withColumn("rows", rows)
-        .filter(F.size("rows") > 0)
-        .drop("records", "header")
+        _once(located, *map(F.col, kept), rows.alias("rows"))
+        .filter(F.col("obs_date").isNotNull() & (F.size("rows") > 0))
         .withColumn("rn", F.row_number().over(newest))
         .filter("rn = 1")
         .select("obs_date", *places, F.explode("rows").alias("record"))
@@ -147,6 +142,11 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
     )
 
 
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Select that later filters cannot make Spark evaluate a second time."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def _all(tests: list[Column]) -> Column:
     result = tests[0]
     for test in tests[1:]:
