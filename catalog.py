@@ -25,29 +25,33 @@ PREVIOUS_RUN = X.AS_OF - timedelta(days=180)
 
 
 class Run:
-    """The inputs and derived tables of one role, all lazy.
+    """The inputs and derived tables of one role.
 
-    Documents read the ladder many times; like in the daily cycle it is then a stored table.
+    Lazy, except that documents read the ladder and its companions many times: for them
+    the tables are ``stored``, as in the daily cycle.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, role: str, stored: bool = False):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        self.spark = spark
+        self.folder = work_folder(spark, role) if stored else None
         self.p = PARAMS[role]
-        self.obs = X.observations(spark, sf_dir, role)
+        self.obs = self.keep("obs", X.observations(spark, sf_dir, role))
         self.stations = X.stations(spark, sf_dir, role)
-        self.events = ladder.record_events(self.obs, self.p)
-        self.coverage = coverage.station_coverage(self.obs, self.p)
-        if stored:
-            folder = work_folder(spark, role)
-            for name in ("obs", "events", "coverage"):
-                getattr(self, name).write.parquet(f"{folder}/{name}")
-                setattr(self, name, spark.read.parquet(f"{folder}/{name}"))
+        self.events = self.keep("events", ladder.record_events(self.obs, self.p))
+        self.coverage = self.keep("coverage", coverage.station_coverage(self.obs, self.p))
         self.read_model = (self.events, self.coverage, self.stations)
         if role == "supplier":
             self.aliases = X.aliases(spark, sf_dir)
             self.names = X.group_names(spark, sf_dir)
             self.groups = stats.group_lookup(self.stations, self.aliases)
 
+    def keep(self, name: str, table: DataFrame) -> DataFrame:
+        if self.folder is None:
+            return table
+        table.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
 
 def _over(role: str, job: Callable[[Run], DataFrame], stored: bool = False) -> Query:
     return lambda spark, sf_dir: job(Run(spark, sf_dir, role, stored))
@@ -99,9 +103,10 @@ def _group_meta(r: Run) -> DataFrame:
 
 
 def _stats_document(r: Run) -> DataFrame:
-    return documents.stats_json(
-        documents.stats_document(r.obs, r.events, r.groups, r.aliases, r.names, r.p)
+    tables = documents.stats_tables(
+        r.obs, r.events, r.groups, r.aliases, r.names, r.p, store=r.keep
     )
+    return documents.stats_json(documents.stats_document(tables))
 
 
 def _rankings_document(r: Run) -> DataFrame:

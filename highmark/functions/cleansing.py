@@ -19,34 +19,45 @@ MONTH_NUMBERS = {
 ACCENTED = "áéíóúàèìòùäëïöüâêîôûãõñç"
 UNACCENTED = "aeiouaeiouaeiouaeiouaonc"
 
-_DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-_INTEGER = r"^[+-]?[0-9]+$"
+# All characters that count as blank at either end of a text.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+_MARGIN = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*+"
+_DECIMAL = rf"^{_MARGIN}([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?){_MARGIN}$"
+_INTEGER = rf"^{_MARGIN}([+-]?[0-9]+){_MARGIN}$"
 _COORDINATE = r"^([0-9]{2})([0-9]{2})([0-9]{2})([NSEW])$"
 _NUMBER = r"-?[0-9]+(?:[.,][0-9]+)?"
 _LONG_DATE = r"(?U)([0-9]{1,2})\s+(\w+)\s+([0-9]{4})"
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def blank_to_null(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def _matched(text: Column, pattern: str, group: int) -> Column:
+    """NULL without a match: a failing cast of an empty text would raise inside, at a price."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
 def decimal_text(text: Column) -> Column:
     """Number with a point or comma; blanks, sentinels and anything else give NULL.
 
     Only plain decimal notation is accepted, so NaN and infinities, which would win
     every maximum, cannot enter.
     """
-    plain = F.regexp_replace(stripped(text), ",", ".")
-    return F.when(plain.rlike(_DECIMAL), plain.try_cast("double"))
+    plain = F.replace(text, F.lit(","), F.lit("."))
+    return _matched(plain, _DECIMAL, 1).try_cast("double")
 
 
 def integer_text(text: Column) -> Column:
-    plain = stripped(text)
-    return F.when(plain.rlike(_INTEGER), plain.try_cast("int"))
+    return _matched(text, _INTEGER, 1).try_cast("int")
 
 
 def coordinate_text(text: Column) -> Column:
@@ -67,8 +78,8 @@ def coordinate_text(text: Column) -> Column:
 
 def temperature_cell(text: Column) -> Column:
     """First signed number before the bracketed hour of ``36.8 (16:40)``."""
-    number = F.regexp_extract(F.split_part(text, F.lit("("), F.lit(1)), _NUMBER, 0)
-    return F.regexp_replace(number, ",", ".").try_cast("double")
+    number = _matched(F.split_part(text, F.lit("("), F.lit(1)), _NUMBER, 0)
+    return F.replace(number, F.lit(","), F.lit(".")).try_cast("double")
 
 
 def long_date_iso(text: Column) -> Column:

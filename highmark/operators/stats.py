@@ -51,6 +51,7 @@ def _dated(df: DataFrame, p: RunParams) -> DataFrame:
 
 
 def _per_station(df: DataFrame, monthly: bool) -> list[Column]:
+    """Keys of a fact after ``_dated``."""
     keys = [F.col("station_id"), F.col("year")]
     return keys + [F.col("obs_month").alias("month")] if monthly else keys
 
@@ -86,20 +87,44 @@ def records_by_period_group(
     return _cells(per_station, groups, monthly, aggs)
 
 
+def definitive_months(obs: DataFrame) -> DataFrame:
+    """Months in which a station has a definitive temperature: all that the counts below need."""
+    return (
+        obs.filter(has_temperature() & is_definitive())
+        .select(
+            "station_id", F.year("obs_date").alias("year"), F.month("obs_date").alias("month")
+        )
+        .distinct()
+    )
+
+
 def stations_by_period_group(
-    obs: DataFrame, groups: DataFrame, p: RunParams, monthly: bool
+    obs: DataFrame,
+    groups: DataFrame,
+    p: RunParams,
+    monthly: bool,
+    months: DataFrame | None = None,
 ) -> DataFrame:
-    """Stations with a definitive temperature."""
-    days = _dated(obs.filter(has_temperature() & is_definitive()), p)
-    per_station = days.select(*_per_station(days, monthly)).distinct()
-    return _cells(per_station, groups, monthly, {"n_stations": F.count(F.lit(1))})
+    """Stations with a definitive temperature; ``months`` saves another pass over ``obs``."""
+    if months is None:
+        days = _dated(obs.filter(has_temperature() & is_definitive()), p)
+        periods = days.select(*_per_station(days, monthly))
+    else:
+        kept = months.filter(F.col("year") >= p.min_year)
+        periods = kept.select("station_id", *period_columns(monthly))
+    return _cells(periods.distinct(), groups, monthly, {"n_stations": F.count(F.lit(1))})
 
 
 def group_meta(
-    obs: DataFrame, groups: DataFrame, aliases: DataFrame, names: DataFrame
+    obs: DataFrame,
+    groups: DataFrame,
+    aliases: DataFrame,
+    names: DataFrame,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """Every named group in display order, with its station count and sorted aliases."""
-    with_data = obs.filter(has_temperature() & is_definitive()).select("station_id").distinct()
+    seen = obs.filter(has_temperature() & is_definitive()) if months is None else months
+    with_data = seen.select("station_id").distinct()
     counted = (
         groups.join(with_data, "station_id", "left_semi")
         .groupingSets([[F.col("group_id")], []], F.col("group_id"))

@@ -112,7 +112,11 @@ def daily_cycle(
     )
     groups = stats.group_lookup(dim, inputs.aliases)
     stats_doc = docs.stats_document(
-        obs, events, groups, inputs.aliases, inputs.names, p, generated_at
+        docs.stats_tables(
+            obs, events, groups, inputs.aliases, inputs.names, p,
+            store=lambda name, table: _stored(spark, table, f"{out_dir}/stats_{name}"),
+        ),
+        generated_at,
     )
     rankings_doc = docs.rankings_document(events, coverage, dim, p, generated_at)
     summary = _stored(

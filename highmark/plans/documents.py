@@ -6,6 +6,8 @@ are one bounded row each. Station documents stay one row per station.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,29 +36,46 @@ KIND_KEYS = {
 # ---- nested rows ----------------------------------------------------------------------
 
 
-def stats_document(
+Store = Callable[[str, DataFrame], DataFrame]
+
+
+def stats_tables(
     obs: DataFrame,
     events: DataFrame,
     groups: DataFrame,
     aliases: DataFrame,
     names: DataFrame,
     p: RunParams,
-    generated_at: str | None = None,
-) -> DataFrame:
+    store: Store = lambda name, table: table,
+) -> dict[str, DataFrame]:
+    """Groups and cells of the aggregates document.
+
+    ``store`` may write a table and read it back, so that the document, which looks at
+    each table several times, does not compute it as often.
+    """
+    months = store("definitive_months", S.definitive_months(obs))
+    tables = {"groups": store("groups", S.group_meta(obs, groups, aliases, names, months))}
+    for monthly, word in ((False, "yearly"), (True, "monthly")):
+        records = S.records_by_period_group(events, groups, p, monthly)
+        stations = S.stations_by_period_group(obs, groups, p, monthly, months)
+        tables[f"{word}_records"] = store(f"{word}_records", records)
+        tables[f"{word}_stations"] = store(f"{word}_stations", stations)
+    return tables
+
+
+def stats_document(tables: dict[str, DataFrame], generated_at: str | None = None) -> DataFrame:
     """One row: axes, groups, and the yearly and monthly grids in group order."""
-    meta = S.group_meta(obs, groups, aliases, names)
-    cells = {
-        monthly: (
-            S.records_by_period_group(events, groups, p, monthly),
-            S.stations_by_period_group(obs, groups, p, monthly),
-        )
-        for monthly in (False, True)
-    }
+    meta = tables["groups"]
     known = meta.select("group_id")
-    years = S.year_axis(*(_of_groups(c, known) for c in cells[False]))
+    years = S.year_axis(
+        _of_groups(tables["yearly_records"], known), _of_groups(tables["yearly_stations"], known)
+    )
 
-    def grid(monthly: bool) -> Column:
-        dense = S.dense_stats(*cells[monthly], known, monthly, years)
+    def grid(word: str) -> Column:
+        monthly = word == "monthly"
+        dense = S.dense_stats(
+            tables[f"{word}_records"], tables[f"{word}_stations"], known, monthly, years
+        )
         period = F.struct(*S.period_columns(monthly), S.as_row().alias("row"))
         rows = dense.groupBy("group_id").agg(F.sort_array(F.collect_list(period)).alias("rows"))
         placed = meta.join(rows, "group_id", "left").select(
@@ -67,15 +86,14 @@ def stats_document(
         return placed.agg(F.sort_array(F.collect_list(F.struct("pos", "group_id", "rows")))).scalar()
 
     entries = F.struct("pos", "group_id", "name", "n_stations", "aliases")
-    axis = years.scalar()
     return (
-        obs.sparkSession.range(1)
+        meta.sparkSession.range(1)
         .select(
             F.lit(generated_at).cast("string").alias("generated_at"),
-            axis.alias("years"),
+            years.scalar().alias("years"),
             meta.agg(F.sort_array(F.collect_list(entries))).scalar().alias("groups"),
-            grid(False).alias("yearly"),
-            grid(True).alias("monthly"),
+            grid("yearly").alias("yearly"),
+            grid("monthly").alias("monthly"),
         )
         .select(
             "generated_at",

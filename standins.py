@@ -36,14 +36,19 @@ def _thousands() -> Column:
 
 def observations(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     """``part`` gives sparse series with long gaps, ``supplier`` dense ones."""
-    unconfirmed = F.max(_ship_day()) >= F.lit(FIRST_UNCONFIRMED)
+    unconfirmed = F.col("obs_date") >= F.lit(FIRST_UNCONFIRMED)
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col(KEYS[role]).cast("string").alias("station_id"), _ship_day().alias("obs_date"))
+        .groupBy(KEYS[role], _ship_day().alias("obs_date"))
         .agg(
             F.max(F.when(F.col("l_returnflag") != "R", _thousands())).alias("tmax"),
             F.min(F.when(F.col("l_linestatus") == "O", _thousands())).alias("tmin"),
-            (unconfirmed | (F.min("l_orderkey") % 997 == 0)).alias("provisional"),
+            (F.min("l_orderkey") % 997 == 0).alias("stale"),
+        )
+        .select(
+            F.col(KEYS[role]).cast("string").alias("station_id"),
+            "obs_date", "tmax", "tmin",
+            (unconfirmed | F.col("stale")).alias("provisional"),
         )
     )
 
