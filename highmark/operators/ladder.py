@@ -176,7 +176,7 @@ def new_record_events(events: DataFrame, previous: DataFrame | None = None) -> D
     """Beaten events that the previous run did not have; none at all without a previous run."""
     beaten = events.filter(is_beaten())
     if previous is None:
-        return beaten.limit(0)
+        return beaten.filter(F.lit(False))
     old = previous.filter(is_beaten())
     same = (
         (beaten.station_id == old.station_id)

@@ -145,10 +145,10 @@ def station_documents(
 ) -> DataFrame:
     """One nested row per active station.
 
-    All inputs meet on ``station_id``. Arrays are bounded by the calendar: at most four
-    events a day and one gap per ``export_gap_min_days`` days.
+    Each part is an aggregation per station, so all meet on ``station_id`` without another
+    shuffle. Arrays are bounded by the calendar: at most four events a day and one gap per
+    ``export_gap_min_days`` days.
     """
-    events = events.repartition("station_id")
     summary = station_summary(events, coverage, stations, p)
     alltime = current_alltime(events).groupBy("station_id").agg(
         *[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from highmark.functions import cleansing as C
@@ -85,19 +85,19 @@ def _last_index(header: Column, test) -> Column:
 def parse_daily_summary(files: DataFrame) -> DataFrame:
     """Rows of summary files: ``obs_date, name, province, tmax, tmin``.
 
-    ``files`` has ``text``, and optionally ``requested_date`` for files that declare no
-    date and ``path``. A file with an impossible date or without the four columns gives
-    nothing. If several files declare one day, the last requested one stands.
+    ``files`` has ``path`` (one row per path), ``text``, and optionally ``requested_date``
+    for files that declare no date. A file with an impossible date or without the four
+    columns gives nothing. If several files declare one day, the last requested one stands;
+    it is found by an aggregation over dates and paths, so no text is ever shuffled.
     """
     requested = (
         F.col("requested_date") if "requested_date" in files.columns else F.lit(None).cast("date")
     )
-    path = F.col("path") if "path" in files.columns else F.lit("")
     parsed = _once(
         files,
         _declared_date_text(F.col("text")).alias("declared"),
         requested.alias("requested_date"),
-        path.alias("path"),
+        F.col("path"),
         _records(F.col("text")).alias("records"),
     )
     header_at = F.array_position(
@@ -118,19 +118,20 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
         F.col("header_at") > 0,
         F.filter(after_header, lambda r: F.size(r) > F.greatest(*places)),
     )
-    newest = Window.partitionBy("obs_date").orderBy(
-        F.desc_nulls_last("requested_date"), F.desc("path")
-    )
-
     def cell(column: str) -> Column:
         return F.get("record", F.col(f"{column}_at"))
 
     kept = ["obs_date", "requested_date", "path", *[f"{c}_at" for c in HEADER_TESTS]]
+    usable = _once(located, *map(F.col, kept), rows.alias("rows")).filter(
+        F.col("obs_date").isNotNull() & (F.size("rows") > 0)
+    )
+    newest = (
+        usable.groupBy("obs_date")
+        .agg(F.max(F.struct("requested_date", "path")).alias("last"))
+        .select("obs_date", "last.path")
+    )
     return (
-        _once(located, *map(F.col, kept), rows.alias("rows"))
-        .filter(F.col("obs_date").isNotNull() & (F.size("rows") > 0))
-        .withColumn("rn", F.row_number().over(newest))
-        .filter("rn = 1")
+        usable.join(newest, ["obs_date", "path"], "left_semi")
         .select("obs_date", *places, F.explode("rows").alias("record"))
         .select(
             "obs_date",
