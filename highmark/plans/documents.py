@@ -268,10 +268,12 @@ def rankings_json(document: DataFrame) -> DataFrame:
         return J.obj({f: to_text(F.col(f"{name}.{f}")) for f in ("max", "min")})
 
     def months(rows: Column) -> Column:
-        def of_month(m: int) -> Column:
-            return J.mapped(F.filter(rows, lambda r: r["month"] == m), month_holder)
+        def of_month(m: Column) -> Column:
+            held = J.mapped(F.filter(rows, lambda r: r["month"] == m), month_holder)
+            return F.concat(F.lit('"'), m.cast("string"), F.lit('":'), held)
 
-        return J.obj({str(m): of_month(m) for m in range(1, 13)})
+        members = F.transform(F.sequence(F.lit(1), F.lit(12)), of_month)
+        return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
     return document.select(
         J.obj(

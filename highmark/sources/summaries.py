@@ -56,14 +56,25 @@ def _unquoted(field: Column) -> Column:
 
 
 def _fields(record: Column) -> Column:
-    cells = F.regexp_extract_all(F.concat(record, F.lit(",")), F.lit(_FIELD + ","), F.lit(1))
-    return F.transform(cells, _unquoted)
+    """Fields of a record, still quoted."""
+    return F.regexp_extract_all(F.concat(record, F.lit(",")), F.lit(_FIELD + ","), F.lit(1))
+
+
+def _cells(record: Column) -> Column:
+    return F.transform(_fields(record), _unquoted)
+
+
+def _is_header(record: Column) -> Column:
+    """All four columns are there; only records with the right words are taken apart."""
+    words = [F.contains(record, F.lit(w)) for w in ("Estaci", "Provincia", "xima", "nima")]
+    tests = [F.exists(_cells(record), t) for t in HEADER_TESTS.values()]
+    return F.when(_all(words), _all(tests)).otherwise(False)
 
 
 def _records(text: Column) -> Column:
-    """Records of comma-separated text; a quoted field may span lines."""
+    """Texts of the records; a quoted field may span lines."""
     lines = F.concat(F.regexp_replace(text, _RECORD_END, "\n"), F.lit("\n"))
-    return F.transform(F.regexp_extract_all(lines, F.lit(_RECORD), F.lit(1)), _fields)
+    return F.regexp_extract_all(lines, F.lit(_RECORD), F.lit(1))
 
 
 def _declared_date_text(text: Column) -> Column:
@@ -100,39 +111,39 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
         F.col("path"),
         _records(F.col("text")).alias("records"),
     )
-    header_at = F.array_position(
-        F.transform("records", lambda r: _all([F.exists(r, t) for t in HEADER_TESTS.values()])),
-        F.lit(True),
-    ).cast("int")
-    header = F.try_element_at("records", F.nullif("header_at", F.lit(0)))
+    header_at = F.array_position(F.transform("records", _is_header), F.lit(True)).cast("int")
+    header = _cells(F.try_element_at("records", F.nullif("header_at", F.lit(0))))
     located = _once(parsed, *map(F.col, parsed.columns), header_at.alias("header_at")).select(
         F.when(F.col("declared").isNull(), F.col("requested_date"))
         .otherwise(C.iso_date(F.col("declared")))
         .alias("obs_date"),
-        "requested_date", "path", "records", "header_at",
+        "requested_date",
+        "path",
+        F.slice("records", F.col("header_at") + 1, F.size("records")).alias("records"),
         *[_last_index(header, test).alias(f"{c}_at") for c, test in HEADER_TESTS.items()],
     )
     places = [F.col(f"{c}_at") for c in HEADER_TESTS]
-    after_header = F.slice("records", F.col("header_at") + 1, F.size("records"))
-    rows = F.when(
-        F.col("header_at") > 0,
-        F.filter(after_header, lambda r: F.size(r) > F.greatest(*places)),
-    )
-    def cell(column: str) -> Column:
-        return F.get("record", F.col(f"{column}_at"))
+    last_place = F.greatest(*places)
+
+    # Without a header there are no places, and the test is never true.
+    def is_row(record: Column) -> Column:
+        return F.size(_fields(record)) > last_place
 
-    kept = ["obs_date", "requested_date", "path", *[f"{c}_at" for c in HEADER_TESTS]]
-    usable = _once(located, *map(F.col, kept), rows.alias("rows")).filter(
-        F.col("obs_date").isNotNull() & (F.size("rows") > 0)
-    )
     newest = (
-        usable.groupBy("obs_date")
+        located.filter(F.exists("records", is_row) & F.col("obs_date").isNotNull())
+        .groupBy("obs_date")
         .agg(F.max(F.struct("requested_date", "path")).alias("last"))
         .select("obs_date", "last.path")
     )
+
+    def cell(column: str) -> Column:
+        return _unquoted(F.get("fields", F.col(f"{column}_at")))
+
     return (
-        usable.join(newest, ["obs_date", "path"], "left_semi")
-        .select("obs_date", *places, F.explode("rows").alias("record"))
+        located.join(newest, ["obs_date", "path"], "left_semi")
+        .select("obs_date", *places, F.explode("records").alias("record"))
+        .select("obs_date", *places, _fields(F.col("record")).alias("fields"))
+        .filter(F.size("fields") > last_place)
         .select(
             "obs_date",
             C.stripped(cell("name")).alias("name"),
