@@ -113,6 +113,16 @@ def provisional_written(current: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def arrival_counts(incoming: DataFrame) -> DataFrame:
+    """How many station days, days and stations an arrival of extremes covers."""
+    days = _daily_extremes(incoming)
+    return days.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("obs_date").alias("n_days"),
+        F.count_distinct("station_id").alias("n_stations"),
+    )
+
+
 def _is_stale(p: RunParams) -> Column:
     horizon = F.date_sub(F.lit(p.as_of), p.provisional_max_age_days)
     return is_provisional() & (F.col("obs_date") < horizon)

@@ -76,6 +76,8 @@ STATIONS = T.StructType(
     ]
 )
 
+STATION_MAP = _strings("name", "province", "station_id")
+
 MONTH_LEDGER = T.StructType(
     [
         T.StructField("year", T.IntegerType()),

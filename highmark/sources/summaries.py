@@ -79,7 +79,7 @@ def _records(text: Column) -> Column:
 
 def _declared_date_text(text: Column) -> Column:
     """ISO text of the date in the preamble: the date line rules, else the first update line."""
-    head = F.slice(F.split(text, _LINE_END), 1, PREAMBLE_LINES)
+    head = F.slice(F.split(text, _LINE_END, PREAMBLE_LINES + 1), 1, PREAMBLE_LINES)
     dated = F.filter(head, lambda line: line.startswith(DATE_LINE))
     updated = F.transform(
         F.filter(head, lambda line: line.startswith(UPDATED_LINE)), C.long_date_iso

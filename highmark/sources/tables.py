@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from highmark.operators.resolve import conform
-from highmark.schemas import HISTORY_LEDGER, MONTH_LEDGER, OBSERVATIONS, STATIONS
+from highmark.schemas import (
+    HISTORY_LEDGER, MONTH_LEDGER, OBSERVATIONS, STATION_MAP, STATIONS,
+)
 
 # The tables a snapshot holds; everything else is derived from them.
 SOURCE_SCHEMAS = {
@@ -69,3 +71,17 @@ def restore_into(spark: SparkSession, path: str, target: str) -> dict[str, DataF
     for name, table in restore(spark, path).items():
         table.write.mode("errorifexists").option("compression", "zstd").parquet(f"{target}/{name}")
     return {name: spark.read.parquet(f"{target}/{name}") for name in SOURCE_SCHEMAS}
+
+
+def load_station_map(spark: SparkSession, path: str) -> DataFrame:
+    """The stored summary-name map; before the first one is stored, an empty map."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        stored = spark.createDataFrame([], STATION_MAP)
+    return conform(stored, STATION_MAP)
+
+
+def save_station_map(station_map: DataFrame, path: str) -> None:
+    """A new map version; ``path`` must be a new folder, so readers of the old one go on."""
+    station_map.write.mode("errorifexists").option("compression", "zstd").parquet(path)

@@ -121,3 +121,15 @@ def test_observation_files_are_pruned_by_year(spark, tmp_path):
     back = tables.read_observations(spark, str(tmp_path / "obs"))
     assert sorted(back.collect(), key=repr) == sorted(obs.collect(), key=repr)
     assert len(list((tmp_path / "obs" / "year=2002").glob("*.parquet"))) <= 3
+
+
+def test_station_map_versions(spark, tmp_path):
+    path = str(tmp_path / "map")
+    assert tables.load_station_map(spark, path).isEmpty()
+    tables.save_station_map(spark.createDataFrame([("X", "P", "1")], "name string, province string, station_id string"), path)
+    assert [tuple(r) for r in tables.load_station_map(spark, path).collect()] == [("X", "P", "1")]
+
+
+def test_arrival_counts(spark):
+    df = spark.createDataFrame([("a", D, 1.0, 1.0), ("a", D, 2.0, 1.0), ("b", D, 1.0, 1.0)], "station_id string, obs_date date, tmax double, tmin double")
+    assert tuple(resolve.arrival_counts(df).first()) == (2, 1, 2)
