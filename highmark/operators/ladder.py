@@ -57,7 +57,10 @@ def _with_segments(days: DataFrame, gap: Column, p: RunParams) -> DataFrame:
 
 
 def coverage_segments(obs: DataFrame, p: RunParams) -> DataFrame:
-    """Segment and maturity of every day with a temperature."""
+    """Segment and maturity of every day with a temperature.
+
+    Two columns travel, and a station has one row per calendar day at most.
+    """
     days = obs.filter(has_temperature()).select("station_id", "obs_date")
     gap = F.datediff("obs_date", F.lag("obs_date").over(_by_date("station_id")))
     return _with_segments(days.withColumn("gap", gap), F.col("gap"), p).select(

@@ -68,6 +68,23 @@ def resolve_observations(log: DataFrame) -> DataFrame:
     return merged.select(*KEY, *measures, "provisional")
 
 
+def _split_by_day(stored: DataFrame, arriving: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored rows on days with arrivals, and all others, without shuffling either.
+
+    The broadcast side is the distinct days, so the calendar bounds it.
+    """
+    days = F.broadcast(arriving.select("obs_date").distinct())
+    return stored.join(days, "obs_date", "left_semi"), stored.join(days, "obs_date", "left_anti")
+
+
+def apply_arrivals(stored: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """The keyed table after an arrival log; only days on which something arrived are resolved."""
+    touched, rest = _split_by_day(as_observations(stored), arrivals)
+    before_all = touched.withColumn("seq", F.lit(-1).cast("bigint"))
+    resolved = resolve_observations(before_all.unionByName(arrivals))
+    return resolved.unionByName(rest.withColumn("provisional", is_provisional()))
+
+
 def resolve_stations(log: DataFrame) -> DataFrame:
     """Latest row per station id."""
     columns = [f.name for f in STATIONS if f.name != "station_id"]
@@ -86,18 +103,20 @@ def _daily_extremes(incoming: DataFrame) -> DataFrame:
 
 def merge_provisional(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Add provisional extremes to a keyed table without touching a definitive row."""
-    old = as_observations(current).withColumn("known", F.lit(True))
+    touched, rest = _split_by_day(as_observations(current), incoming)
+    old = touched.withColumn("known", F.lit(True))
     both = old.join(_daily_extremes(incoming), KEY, "full_outer")
     keep = F.col("known").isNotNull() & is_definitive()
     measures = {c: F.col(c) for c in MEASURE_COLUMNS} | {
         "tmax": F.when(keep, F.col("tmax")).otherwise(F.greatest("tmax", "new_max")),
         "tmin": F.when(keep, F.col("tmin")).otherwise(F.least("tmin", "new_min")),
     }
-    return both.select(
+    merged = both.select(
         *KEY,
         *[measures[c].alias(c) for c in MEASURE_COLUMNS],
         (~keep).alias("provisional"),
     )
+    return merged.unionByName(rest.withColumn("provisional", is_provisional()))
 
 
 def provisional_written(current: DataFrame, incoming: DataFrame) -> DataFrame:

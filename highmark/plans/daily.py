@@ -19,11 +19,16 @@ from highmark.sources.tables import read_observations, write_observations
 
 @dataclass
 class CycleInputs:
-    """Stored state and new arrivals; every arrival may be missing on its own."""
+    """Stored state and new arrivals; every arrival may be missing on its own.
+
+    ``pending`` holds the arrivals of earlier runs that ``observations`` lacks because those
+    runs did not rewrite it.
+    """
 
     aliases: DataFrame
     names: DataFrame
     observations: DataFrame | None = None
+    pending: DataFrame | None = None
     stations: DataFrame | None = None
     previous_events: DataFrame | None = None
     published: DataFrame | None = None
@@ -34,18 +39,6 @@ class CycleInputs:
     station_map: DataFrame | None = None
 
 
-def _in_order(parts: list[DataFrame | None]) -> DataFrame:
-    """Union of the present parts, numbered by arrival."""
-    log = None
-    for seq, part in enumerate(parts):
-        if part is not None:
-            numbered = part.withColumn("seq", F.lit(seq).cast("bigint"))
-            log = numbered if log is None else log.unionByName(numbered)
-    if log is None:
-        raise ValueError("nothing stored and nothing arrived")
-    return log
-
-
 def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
     """Hourly and summary extremes as one arrival."""
     parts = []
@@ -62,25 +55,50 @@ def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
     return resolve.as_observations(merged, provisional=True)
 
 
-def current_observations(inputs: CycleInputs, p: RunParams) -> DataFrame:
-    """Stored rows without stale provisionals, new definitive rows, new provisional extremes.
+def arrivals(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
+    """New definitive and provisional rows after those still pending, as one numbered log.
 
-    One aggregation resolves all three: a definitive row always wins over a provisional
-    one, so the order in which they are applied does not matter.
+    Stale provisional rows of earlier runs are purged; a definitive row always wins over a
+    provisional one, so only the order of definitive arrivals matters.
     """
-    stored = inputs.observations
-    if stored is not None:
-        stored = resolve.purge_provisional(resolve.as_observations(stored), p)
-    daily = inputs.raw_daily
-    if daily is not None:
-        daily = resolve.as_observations(clean_daily(daily), provisional=False)
-    return resolve.resolve_observations(_in_order([stored, daily, _provisional(inputs, p)]))
+    parts = []
+    if inputs.pending is not None:
+        parts.append(resolve.purge_provisional(inputs.pending, p))
+    fresh = [_provisional(inputs, p)]
+    if inputs.raw_daily is not None:
+        fresh.append(resolve.as_observations(clean_daily(inputs.raw_daily), provisional=False))
+    next_seq = F.lit(0)
+    if inputs.pending is not None:
+        newest = inputs.pending.agg(F.max("seq").alias("seq"))
+        next_seq = F.coalesce(newest.scalar(), F.lit(-1)) + 1
+    parts += [d.withColumn("seq", next_seq.cast("bigint")) for d in fresh if d is not None]
+    log = None
+    for part in parts:
+        log = part if log is None else log.unionByName(part)
+    return log
+
+
+def current_observations(
+    inputs: CycleInputs, log: DataFrame | None, p: RunParams
+) -> DataFrame:
+    """The keyed table of this run: stored rows without stale provisionals, and the log."""
+    if inputs.observations is None:
+        if log is None:
+            raise ValueError("nothing stored and nothing arrived")
+        return resolve.resolve_observations(log)
+    stored = resolve.purge_provisional(resolve.as_observations(inputs.observations), p)
+    return stored if log is None else resolve.apply_arrivals(stored, log)
 
 
 def current_stations(inputs: CycleInputs) -> DataFrame:
-    fresh = inputs.raw_stations
-    fresh = clean_stations(fresh) if fresh is not None else None
-    return resolve.resolve_stations(_in_order([inputs.stations, fresh]))
+    """Stored stations, replaced by fresh ones of the same id."""
+    known = [inputs.stations] if inputs.stations is not None else []
+    fresh = [clean_stations(inputs.raw_stations)] if inputs.raw_stations is not None else []
+    numbered = [d.withColumn("seq", F.lit(i)) for i, d in enumerate(known + fresh)]
+    if not numbered:
+        raise ValueError("no stations stored and none arrived")
+    log = numbered[0] if len(numbered) == 1 else numbered[0].unionByName(numbered[1])
+    return resolve.resolve_stations(log)
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -96,14 +114,23 @@ def daily_cycle(
     out_dir: str,
     generated_at: str | None = None,
     publish_to: str | None = None,
+    rewrite: bool = True,
 ) -> dict[str, DataFrame]:
     """Run everything into ``out_dir``, a new version folder on storage that all executors see.
 
     Nothing that is being read is overwritten. With ``publish_to`` (a URI) the documents
     are also written there as exactly named files, and stale ones are removed.
+
+    ``rewrite`` stores the whole observation table anew. Without it only the arrivals are
+    stored: hand them to the next run as ``pending``, and rewrite now and then.
     """
-    write_observations(current_observations(inputs, p), f"{out_dir}/observations")
-    obs = read_observations(spark, f"{out_dir}/observations")
+    log = arrivals(inputs, p)
+    if log is not None:
+        log = _stored(spark, log, f"{out_dir}/arrivals")
+    obs = current_observations(inputs, log, p)
+    if rewrite:
+        write_observations(obs, f"{out_dir}/observations")
+        obs = read_observations(spark, f"{out_dir}/observations")
     dim = _stored(spark, current_stations(inputs), f"{out_dir}/stations")
     coverage = _stored(spark, cov.station_coverage(obs, p), f"{out_dir}/station_coverage")
     events = _stored(spark, ladder.record_events(obs, p), f"{out_dir}/record_events")
@@ -143,6 +170,8 @@ def daily_cycle(
         ),
         "manifest": manifest,
     }
+    if log is not None:
+        result["arrivals"] = log
     if inputs.published is not None:
         result["delta"] = publication.publication_delta(manifest, inputs.published)
     if publish_to is not None:

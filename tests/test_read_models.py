@@ -203,6 +203,14 @@ def test_full_cycle_writes_every_document(spark, tmp_path):
     )
     again = daily.daily_cycle(spark, follow, P, str(tmp_path / "v2"))
     assert {(r.kind, r.value) for r in again["record_events_new"].collect()} == {("all_max", 70.0), ("month_max", 70.0)}
+    # Without a rewrite the arrivals stay pending and give the same table.
+    light = daily.daily_cycle(spark, follow, P, str(tmp_path / "v3"), rewrite=False)
+    assert not (tmp_path / "v3" / "observations").exists()
+    same = sorted(again["observations"].collect(), key=repr)
+    assert sorted(light["observations"].collect(), key=repr) == same
+    later = daily.CycleInputs(aliases=inputs.aliases, names=inputs.names, observations=result["observations"], pending=light["arrivals"])
+    log = daily.arrivals(later, P)
+    assert sorted(daily.current_observations(later, log, P).collect(), key=repr) == same
 
 
 def test_coverage_ignores_provisional_but_gaps_do_not(spark):

@@ -76,6 +76,15 @@ def test_merge_provisional(spark):
     assert resolve.provisional_written(current, incoming).first()[0] == 3
 
 
+def test_apply_arrivals_equals_resolving_everything(spark):
+    other = D + timedelta(1)
+    stored = [("a", D, 1.0, 1.0, False), ("a", other, 2.0, 2.0, None), ("b", D, 3.0, 3.0, True), ("c", other, 4.0, 4.0, True)]
+    new = [("a", D, 9.0, 0.0, True, 0), ("b", D, 5.0, 5.0, True, 0), ("b", D, 8.0, 8.0, False, 1), ("d", D, 1.0, 1.0, True, 1)]
+    table = spark.createDataFrame(stored, "station_id string, obs_date date, tmax double, tmin double, provisional boolean")
+    got = resolve.apply_arrivals(table, _log(spark, new)).collect()
+    assert {(r.station_id, r.obs_date): (r.tmax, r.tmin, r.provisional) for r in got} == resolved(spark, [(*r, -1) for r in stored] + new)
+
+
 def test_purge(spark):
     days = [P.as_of - timedelta(n) for n in (14, 15, 16)]
     rows = [("a", d, 1.0, 1.0, None, flag) for d in days for flag in (True,)] + [("b", days[2], 1.0, 1.0, None, f) for f in (None,)]
