@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from highmark.functions.predicates import family, is_all_time, is_beaten, is_monthly
+from highmark.functions.predicates import family, is_all_time, is_beaten
 from highmark.params import RunParams
 from highmark.schemas import ALL_TIME_KINDS, EVENT_COLUMNS, KINDS, MONTHLY_KINDS
 

@@ -23,12 +23,15 @@ SOURCE_SCHEMAS = {
 DEFAULTS = {"observations": {"provisional": False}}
 
 
-def write_observations(obs: DataFrame, path: str, files_per_year: int = 8) -> None:
+def write_observations(obs: DataFrame, path: str, files_per_year: int | None = None) -> None:
     """Observations by year, several files each, sorted so that footers prune by station.
 
     Stations are spread over the files of a year by hash, so a large station still only
-    adds its one row per day to one of them.
+    adds its one row per day to one of them. By default a year may spread over as many
+    tasks as a shuffle has; adaptive execution merges them where the data is small.
     """
+    if files_per_year is None:
+        files_per_year = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64("station_id"), F.lit(files_per_year))
     (
         obs.withColumn("year", F.year("obs_date"))
