@@ -2,11 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
+import catalog
 import compare
+import oracles
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracles.oracle_sql()
 
 
 def test_every_query_has_sql():
