@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from llm.byte_bpe import op1_byte_bpe
+from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
 from llm.packing import op7_packing
 from llm.quality import op4_quality
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_fingerprints": op2_fingerprints,
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
