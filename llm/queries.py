@@ -5,6 +5,7 @@ from __future__ import annotations
 from llm.byte_bpe import op1_byte_bpe
 from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
+from llm.near_dedup import op10_near_dedup
 from llm.packing import op7_packing
 from llm.quality import op4_quality
 
@@ -14,5 +15,6 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
+    "op10_near_dedup": op10_near_dedup,
 }
 SQL: dict[str, str] = {}
