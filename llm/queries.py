@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from llm.byte_bpe import op1_byte_bpe
+from llm import exact_search
 from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
 from llm.near_dedup import op10_near_dedup
@@ -12,9 +13,10 @@ from llm.quality import op4_quality
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_fingerprints": op2_fingerprints,
+    "op3_exact_search": exact_search.op3_exact_search,
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op10_near_dedup": op10_near_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_exact_search": exact_search.SQL}
