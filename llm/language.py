@@ -141,17 +141,16 @@ def feature_batches(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["lang", "x"])
 
 
-def predict_batches(batches: Iterator, model: Model | None) -> Iterator:
+def predict_batches(batches: Iterator, model: Model | None, keep: list[str], told: tuple[str, str]) -> Iterator:
     for batch in batches:
         for part in slices(batch):
             names, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             found = [(i, x) for i, t in enumerate(part["text"].to_pylist()) if model and t and (x := features(t)) is not None]
             if found:
-                told, score = model.predict(np.stack([x for _, x in found]))
-                for (i, _), name, s in zip(found, told, score):
+                best, score = model.predict(np.stack([x for _, x in found]))
+                for (i, _), name, s in zip(found, best, score):
                     names[i], scores[i] = name, s
-            kept = [c for c in part.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, *told])
 
 
 def fit_languages(docs: DataFrame, usable: Column | None = None) -> Model | None:
@@ -175,16 +174,16 @@ def fit_languages(docs: DataFrame, usable: Column | None = None) -> Model | None
     return Model(languages, x, np.array([languages.index(r["lang"]) for r in rows]))
 
 
-def predict_languages(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns (not text) of every row, ``lang_pred`` and ``lang_score``."""
-    rows = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
-    return rows.mapInArrow(in_tasks("llm.language", "predict_batches", model), schema + ", lang_pred string, lang_score double")
+def predict_languages(docs: DataFrame, model: Model | None, keep: list[str], told: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of every row, the language and its score; ``told`` names them, none of ``keep``."""
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    return rows.mapInArrow(in_tasks("llm.language", "predict_batches", model, keep, told), f"{schema}, `{told[0]}` string, `{told[1]}` double")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = fit_languages(docs, remainder("doc_id", HELD_OUT) != 1)
     return predict_languages(docs, model, ["doc_id"]).select(
-        "doc_id", (remainder("doc_id", HELD_OUT) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+        "doc_id", (remainder("doc_id", HELD_OUT) == 1).alias("held_out"), "lang_pred", "score"
     )

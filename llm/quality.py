@@ -129,13 +129,11 @@ def feature_batches(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays(columns, ["label", "index", "value"])
 
 
-def score_batches(batches: Iterator, model: Model) -> Iterator:
+def score_batches(batches: Iterator, model: Model, keep: list[str], name: str) -> Iterator:
     for batch in batches:
         for part in slices(batch):
             scores = model.scores([features(t) for t in part["text"].to_pylist()])
-            columns = [part[c] for c in part.schema.names if c != "text"]
-            names = [c for c in part.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in keep), pa.array(scores, pa.float64())], [*keep, name])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None, rows: int = SAMPLE_ROWS) -> Model:
@@ -156,11 +154,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None
     return model
 
 
-def quality_scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns (not text) of every row, and ``score``."""
-    rows = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) + ", score double"
-    return rows.mapInArrow(in_tasks("llm.quality", "score_batches", model), schema)
+def quality_scores(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """``keep`` columns of every row, and the score as ``name``, which is none of them."""
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    return rows.mapInArrow(in_tasks("llm.quality", "score_batches", model, keep, name), f"{schema}, `{name}` double")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
