@@ -42,7 +42,9 @@ SMALL = 16
 BLOCK_ROWS, BLOCK_BYTES = 2048, 32 << 20
 STRIDE = np.uint32(0x9E3779B1)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary, shingles binary"
+SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
+#: Bits of the mark list of wanted ids, whatever their number; 8 MB.
+MARK_BITS, MARK_BLOCK = 26, 1 << 20
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -105,9 +107,37 @@ def sign_batches(batches: Iterator) -> Iterator:
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([list(k) if ok else None for k, ok in zip(keys.view(np.int64), some)], pa.list_(pa.int64())),
                 pa.array([s.astype("<u2").tobytes() if ok else None for s, ok in zip(signatures & np.uint64(0xFFFF), some)], pa.binary()),
-                pa.array([s.tobytes() if len(s) else None for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands", "signature", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands", "signature"])
+
+
+def mark_of(ids: np.ndarray) -> np.ndarray:
+    return (_mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+
+def mark_batches(batches: Iterator) -> Iterator:
+    """Marks of ids as a list of bits, in blocks; only blocks that have any."""
+    marks = np.zeros(1 << MARK_BITS, dtype=bool)
+    for batch in batches:
+        marks[mark_of(batch["rep"].to_numpy(zero_copy_only=False))] = True
+    for block, part in enumerate(marks.reshape(-1, MARK_BLOCK)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(part).tobytes()], pa.binary())], ["block", "marks"])
+
+
+def add_marks(group: pa.Table) -> pa.Table:
+    both = np.bitwise_or.reduce(np.stack([np.frombuffer(m, np.uint8) for m in group["marks"].to_pylist()]))
+    return pa.table({"block": group["block"][:1], "marks": pa.array([both.tobytes()], pa.binary())})
+
+
+def set_batches(batches: Iterator, marks: np.ndarray) -> Iterator:
+    """Sets of the documents whose id is marked."""
+    for batch in batches:
+        for part in slices(batch):
+            at = mark_of(part["doc_id"].to_numpy(zero_copy_only=False))
+            part = part.filter(pa.array(marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1))
+            sets = [shingle_set(t).tobytes() for t in part["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sets, pa.binary())], ["rep", "shingles"])
 
 
 def similar_batches(batches: Iterator) -> Iterator:
@@ -192,12 +222,33 @@ def compare_blocks(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of distinct pairs ``a, b`` those whose sets are alike."""
+def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of distinct pairs ``a, b`` those that set sizes and coordinates leave possible."""
     sides = [classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"signature_{s}")) for s in "ab"]
     near = pairs.join(sides[0], "a").join(sides[1], "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    near = near.select("a", "b", "signature_a", "signature_b").mapInArrow(in_tasks("llm.near_dedup", "similar_batches"), "a long, b long")
-    near = stored(near, "near-pairs")
+    return near.select("a", "b", "signature_a", "signature_b").mapInArrow(in_tasks("llm.near_dedup", "similar_batches"), "a long, b long")
+
+
+def wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rep, shingles`` of the ids ``rep``, worked out from their texts.
+
+    A list of ``2 ** MARK_BITS`` bits, the same size for any corpus, tells the tasks that read the
+    documents which ids may be wanted; only those go on to the join that decides.
+    """
+    task = lambda name, *args: in_tasks("llm.near_dedup", name, *args)
+    kind = "block int, marks binary"
+    blocks = wanted.select("rep").coalesce(8).mapInArrow(task("mark_batches"), kind)
+    marks = np.zeros((1 << MARK_BITS) // 8, dtype=np.uint8)
+    for row in blocks.groupBy("block").applyInArrow(task("add_marks"), kind).toLocalIterator():
+        at = row["block"] * MARK_BLOCK // 8
+        marks[at : at + MARK_BLOCK // 8] = np.frombuffer(row["marks"], np.uint8)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    found = rows.mapInArrow(task("set_batches", marks), "rep long, shingles binary").where(F.octet_length("shingles") > 0)
+    return found.join(wanted.select("rep"), "rep", "left_semi").dropDuplicates(["rep", "shingles"])
+
+
+def confirmed(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs ``a, b`` those whose full sets are alike."""
     whole = [sets.select(F.col("rep").alias(s), F.col("shingles").alias(f"shingles_{s}")) for s in "ab"]
     both = near.join(whole[0], "a").join(whole[1], "b").select("a", "b", "shingles_a", "shingles_b")
     return both.mapInArrow(in_tasks("llm.near_dedup", "confirm_batches"), "a long, b long")
@@ -249,7 +300,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = signed.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bands", "signature"), "doc_id").alias("of"))
     classes = stored(classes.select("digest", "rep", F.col("of.n_shingles").alias("n"), "of.bands", "of.signature"), "classes")
-    sets = known.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"]).select(F.col("doc_id").alias("rep"), "shingles")
 
     keyed = classes.select("rep", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -264,8 +314,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = family.where("centre <> rep").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
 
     reps = classes.select("rep", "n", "signature")
+    near = stored(near_pairs(pairs.union(star).distinct(), reps), "near-pairs")
+    wanted = near.select(F.col("a").alias("rep")).union(near.select("b")).union(family.select("rep")).distinct()
+    sets = stored(wanted_sets(rows, wanted), "sets")
+    links = stored(confirmed(near, sets), "links")
     # rows of one id that differ are one document
-    links = stored(confirmed(pairs.union(star).distinct(), reps, sets), "links")
     same = classes.join(known.select("doc_id", "digest").distinct(), "digest").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
     repeated = known.select("doc_id", "digest").distinct().groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
     same = same.join(repeated.select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
