@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from llm.common import in_tasks, slices, stored, table, words_of
 
@@ -331,5 +332,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, and every row without an id."""
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    place = "place"
+    while place in docs.columns:
+        place += "_"
+    known = docs.join(kept, docs["doc_id"].cast("long") == kept["id"], "left_semi")
+    order = Window.partitionBy(F.col("doc_id").cast("long")).orderBy("text")
+    known = known.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*docs.columns)
+    return known.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
