@@ -1,0 +1,62 @@
+"""Exact search against all inner products."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import compare
+from llm import exact_search
+
+
+def brute(rows, modulus, k):
+    vectors = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        whole = [math.floor(64 * x) for x in v]
+        vectors[i] = min(vectors.get(i, whole), whole)
+    out = set()
+    for q, a in vectors.items():
+        if q % modulus == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors.items() if i != q and len(b) == len(a))
+            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
+    return out
+
+
+def test_query_against_sql(spark, sf_dir):
+    assert compare.difference(exact_search.op3_exact_search(spark, sf_dir), compare.connect(sf_dir), exact_search.SQL) is None
+
+
+@pytest.mark.parametrize("blocks", [(4096, 8192), (7, 11)])
+def test_awkward_vectors(spark, monkeypatch, blocks):
+    monkeypatch.setattr(exact_search, "QUERY_BLOCK", blocks[0])
+    monkeypatch.setattr(exact_search, "CANDIDATE_BLOCK", blocks[1])
+    rng = random.Random(4)
+    same = [0.25, -0.5, 0.75]
+    rows = [(i, same) for i in range(0, 90, 2)] + [(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(1, 60, 2)]
+    rows += [(None, same), (200, None), (201, []), (202, [1.0, None, 2.0]), (203, [math.nan, 0.0, 0.0]), (204, [math.inf, 0.0, 0.0])]
+    rows += [(300, [1.0, 2.0]), (305, [3.0, 4.0]), (310, [1.0]), (4, same), (5, [0.1, 0.2, 0.3])]
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], "vec_id long, embedding array<float>, vector string, far string")
+    single = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    got = exact_search.top_k(exact_search.valid_vectors(df), F.col("vec_id") % 5 == 0, 6)
+    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == brute(single, 5, 6)
+    none = exact_search.top_k(exact_search.valid_vectors(df.where("vec_id < -9")), F.col("vec_id") % 5 == 0, 6)
+    assert none.count() == 0
+
+
+def test_bounds_stop_early():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 8)) * 300
+    x = np.floor(np.repeat(centres, 100, 0) + rng.normal(size=(4000, 8)) * 3)
+    pivots = x[:: 4000 // exact_search.PIVOTS]
+    far = exact_search.distances(x, pivots)
+    q, square = x[5], (x**2).sum(1)
+    bound = np.abs(far[5] - far).max(1)
+    caps = (square[5] + square - bound**2) / 2 + 1e-6
+    assert (caps >= x @ q - 1e-6).all()
+    ids, scores = exact_search.best(q, 5, caps, np.arange(4000), x, 20)
+    want = sorted((-s, i) for i, s in enumerate((x @ q).tolist()) if i != 5)[:20]
+    assert list(zip((-scores).tolist(), ids.tolist())) == want

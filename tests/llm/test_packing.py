@@ -1,0 +1,75 @@
+"""Packing: exact pieces, gapless sequences, little padding, against plain loops."""
+
+import zlib
+from collections import Counter, defaultdict
+from itertools import product
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from llm import packing
+
+
+def check(docs, rows, capacity=packing.CAPACITY):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    want, texts = Counter(), docs.select("doc_id", "text").collect()
+    for r in texts:
+        ids = np.array([*(tokenizer.encode(r["text"], add_special_tokens=False).ids if r["text"] else []), packing.END_ID], "<u4")
+        for start in range(0, len(ids), capacity):
+            piece = ids[start : start + capacity]
+            want[r["doc_id"], start, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= capacity
+    return sequences
+
+
+def test_edge_rows(edge_docs):
+    check(edge_docs, packing.pack_documents(edge_docs).collect())
+
+
+def test_documents_leave_little_padding(sf_docs):
+    sequences = check(sf_docs, packing.pack_documents(sf_docs).collect())
+    sums = [sum(n for _, n in p) for p in sequences.values()]
+    padding = sum(packing.CAPACITY - s for s in sums if s & (s - 1))
+    assert padding < 0.02 * sum(sums)  # 200 documents; far less for more
+
+
+def test_closest_fill_is_the_best_sum():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        lengths = rng.integers(1, 30, 5)
+        counts = {int(x): int(rng.integers(1, 3)) for x in lengths}
+        room = int(rng.integers(1, 60))
+        sums = {sum(k * n for k, n in zip(counts, chosen)) for chosen in product(*(range(c + 1) for c in counts.values()))}
+        chosen = Counter(packing.closest_fill(counts, room))
+        assert all(chosen[k] <= counts[k] for k in chosen)
+        assert sum(chosen.elements()) == max(s for s in sums if s <= room)
+
+
+def test_plan_uses_every_piece_once():
+    histogram = {2048: 1000, 1500: 7, 548: 9, 1024: 3, 1: 5000, 333: 11}
+    plan = packing.plan_windows(histogram)
+    used = defaultdict(list)
+    for length, first, last, *_ in plan:
+        used[length].append((first, last))
+    for length, spans in used.items():
+        spans.sort()
+        assert spans[0][0] == 0 and spans[-1][1] == histogram[length]
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_special_text_is_the_special_token():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    text = "a <|endoftext|>b" + " " * 6000 + "c"
+    assert packing.encoder(path)(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_empty_table(no_docs):
+    assert packing.pack_documents(no_docs).count() == 0
