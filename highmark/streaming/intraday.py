@@ -1,66 +1,75 @@
 """Structured Streaming: intraday extremes and file-arrival ingest into the log.
 
-The log is a folder tree ``source=<name>/batch=<id>``. A batch that is repeated after a
-failure overwrites its own folder, so each arrival is in the log once.
+The log is a folder tree ``source=<name>/stream=<id>/batch=<id>``. A batch that is repeated
+after a failure overwrites its own folder, so each arrival is in the log once; a stream whose
+checkpoint is new has a new id, so its batch numbers never meet those of an earlier one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Event
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from highmark.functions.cleansing import local_clock
-from highmark.operators.clean import clean_daily, clean_hourly, reading_extremes
+from highmark.operators.clean import clean_daily, hourly_daily_extremes
 from highmark.operators.resolve import as_observations
 from highmark.params import RunParams
 
 
-def stream_daily_extremes(stream: DataFrame, tz: str, p: RunParams) -> DataFrame:
-    """Running extremes per station and local day; state is dropped after the late horizon.
+def _next_seq(spark: SparkSession, log: str) -> int:
+    """One more than the highest ``seq`` in the log, so that later runs count as later."""
+    try:
+        last = spark.read.parquet(log).agg(F.max("seq")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None  # nothing has been written yet
+    return 0 if last is None else last + 1
 
-    Windows are cut on the local clock, so a day of 23 or 25 hours is still one window.
-    """
-    return (
-        reading_extremes(clean_hourly(stream))
-        .withColumn("clock", local_clock(F.col("instant"), tz))
-        .withWatermark("clock", f"{p.provisional_max_age_days} days")
-        .groupBy("station_id", F.window("clock", "1 day").alias("day"))
-        .agg(F.max("high").alias("tmax"), F.min("low").alias("tmin"))
-        .filter(F.col("tmax").isNotNull() | F.col("tmin").isNotNull())
-        .select("station_id", F.to_date("day.start").alias("obs_date"), "tmax", "tmin")
-    )
 
+def _append(
+    stream: DataFrame, log: str, source: str, checkpoint: str, job: Callable[[DataFrame], DataFrame], provisional: bool
+) -> StreamingQuery:
+    first_seq = _next_seq(stream.sparkSession, log)
+    known, name = Event(), []
 
-def _append(stream: DataFrame, log: str, source: str, checkpoint: str, mode: str, provisional: bool) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = as_observations(batch, provisional)
-        rows.withColumn("seq", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{log}/source={source}/batch={batch_id}"
+        known.wait()
+        rows = as_observations(job(batch), provisional)
+        rows.withColumn("seq", F.lit(first_seq + batch_id).cast("bigint")).write.mode("overwrite").parquet(
+            f"{log}/source={source}/stream={name[0]}/batch={batch_id}"
         )
 
-    return (
-        stream.writeStream.outputMode(mode)
+    query = (
+        stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
     )
+    name.append(query.id)
+    known.set()
+    return query
 
 
-def ingest_hourly(
-    stream: DataFrame, log: str, checkpoint: str, p: RunParams
-) -> StreamingQuery:
-    """Append the days whose extremes moved to the log, as provisional rows."""
-    extremes = stream_daily_extremes(stream, p.local_tz, p)
-    return _append(extremes, log, "hourly", checkpoint, "update", True)
+def ingest_hourly(stream: DataFrame, log: str, checkpoint: str, p: RunParams) -> StreamingQuery:
+    """Append the extremes of each arriving batch of readings to the log, as provisional rows.
+
+    A batch is reduced on its own: provisional rows of a day merge when the log is resolved, so
+    neither state nor a watermark is needed, and no reading is too late or too early.
+    """
+    return _append(stream, log, "hourly", checkpoint, lambda batch: hourly_daily_extremes(batch, p.local_tz), True)
 
 
 def ingest_daily(raw: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Append arriving daily batches to the log, as definitive rows."""
-    return _append(clean_daily(raw), log, "daily", checkpoint, "append", False)
+    return _append(raw, log, "daily", checkpoint, clean_daily, False)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """The ingest log, ready for ``resolve_observations``."""
-    return spark.read.parquet(log).drop("source", "batch")
+    return spark.read.parquet(log).drop("source", "stream", "batch")

@@ -43,12 +43,39 @@ def test_stream_equals_batch_over_triggers_and_restarts(spark, folders):
     assert got == [("a", "2024-10-26", 5.0, 5.0, True), ("a", "2024-10-27", 9.0, 1.0, True)]
 
 
-def test_readings_beyond_the_late_horizon_are_ignored(spark, folders):
+def test_no_reading_is_too_late_or_too_early(spark, folders):
     landing, log, checkpoint = folders
     drop(landing, "1.json", reading("a", "2024-01-31T12:00:00+0000", 1.0))
     run(spark, landing, log, checkpoint)
     drop(landing, "2.json", reading("a", "2024-01-20T12:00:00+0000", 2.0), reading("a", "2024-01-02T12:00:00+0000", 3.0))
-    assert [r[1] for r in run(spark, landing, log, checkpoint)] == ["2024-01-20", "2024-01-31"]
+    run(spark, landing, log, checkpoint)
+    drop(landing, "3.json", reading("c", "2099-01-01T12:00:00+0000", 4.0))
+    run(spark, landing, log, checkpoint)
+    drop(landing, "4.json", reading("a", "2024-02-01T12:00:00+0000", 5.0), reading("b", "2024-02-02T12:00:00+0000", 6.0))
+    got = run(spark, landing, log, checkpoint)
+    batch = hourly_daily_extremes(readers.read_hourly(spark, str(landing)), "Europe/Madrid").collect()
+    assert got == sorted((r.station_id, r.obs_date.isoformat(), r.tmax, r.tmin, True) for r in batch)
+    assert [r[1] for r in got] == ["2024-01-02", "2024-01-20", "2024-01-31", "2024-02-01", "2024-02-02", "2099-01-01"]
+
+
+def test_a_new_checkpoint_keeps_earlier_arrivals(spark, folders, tmp_path):
+    daily, log = tmp_path / "daily", str(tmp_path / "log")
+    daily.mkdir()
+    for name, value in (("1", "6,5"), ("2", "7,5")):
+        folder = daily / name
+        folder.mkdir()
+        drop(folder, "1.json", {"indicativo": "a", "fecha": "2024-01-31", "tmax": value}, {"indicativo": "b", "fecha": f"2024-01-0{name}"})
+        stream = readers.stream_daily(spark, str(folder))
+        intraday.ingest_daily(stream, log, str(tmp_path / f"checkpoint-{name}")).awaitTermination()
+    rows = resolve_observations(intraday.read_log(spark, log)).collect()
+    assert sorted((r.station_id, r.obs_date.day, r.tmax) for r in rows) == [("a", 31, 7.5), ("b", 1, None), ("b", 2, None)]
+
+
+def test_truncated_file_fails_the_batch(spark, folders):
+    landing, log, checkpoint = folders
+    (landing / "1.json").write_text('[{"idema": "a", "fint": "2024-01-31T12:00:00+0000", "ta": 1.0}, {"idema"')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|FAILFAST"):
+        run(spark, landing, log, checkpoint)
 
 
 def test_definitive_batches_supersede(spark, folders, tmp_path):
