@@ -20,6 +20,22 @@ def clean_daily(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_daily(raw: DataFrame) -> DataFrame:
+    """Raw daily rows that ``clean_daily`` leaves out, with the reason."""
+    station = C.blank_to_null(F.col(DAILY_TEXT_FIELDS["station_id"]))
+    day = C.iso_date(C.blank_to_null(F.col(DAILY_TEXT_FIELDS["obs_date"])))
+    reason = F.when(station.isNull(), "no station").when(day.isNull(), "no date")
+    return raw.select("*", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def rejected_hourly(raw: DataFrame) -> DataFrame:
+    """Raw hourly readings that ``clean_hourly`` leaves out, with the reason."""
+    reason = F.when(C.blank_to_null(F.col("idema")).isNull(), "no station").when(
+        C.offset_instant(F.col("fint")).isNull(), "no instant"
+    )
+    return raw.select("*", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def clean_stations(raw: DataFrame) -> DataFrame:
     """Typed station rows; rows without an id are dropped."""
 
