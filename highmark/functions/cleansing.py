@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ MONTH_NUMBERS = {
     "septiembre": "09", "octubre": "10", "noviembre": "11", "diciembre": "12",
 }
 
-# Accented letters and their plain forms.
-ACCENTED = "áéíóúàèìòùäëïöüâêîôûãõñç"
-UNACCENTED = "aeiouaeiouaeiouaeiouaonc"
+# Characters whose compatibility decomposition holds exactly one ASCII character, and that character.
+_PLAIN = {
+    chr(i): plain
+    for i in range(0x80, 0x3000)
+    if len(plain := unicodedata.normalize("NFKD", chr(i)).encode("ascii", "ignore").decode()) == 1
+}
 
 # All characters that count as blank at either end of a text.
 BLANKS = (
@@ -28,6 +33,8 @@ BLANKS = (
 _MARGIN = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*+"
 _DECIMAL = rf"^{_MARGIN}([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?){_MARGIN}$"
 _INTEGER = rf"^{_MARGIN}([+-]?[0-9]+){_MARGIN}$"
+
+# Written forms of a coordinate, a number in a cell, and a long date.
 _COORDINATE = r"^([0-9]{2})([0-9]{2})([0-9]{2})([NSEW])$"
 _NUMBER = r"-?[0-9]+(?:[.,][0-9]+)?"
 _LONG_DATE = r"(?U)([0-9]{1,2})\s+(\w+)\s+([0-9]{4})"
@@ -112,6 +119,6 @@ def local_clock(instant: Column, tz: str) -> Column:
 
 
 def accent_free_key(text: Column) -> Column:
-    """Sort key without case and accents."""
-    plain = F.translate(F.lower(text), ACCENTED, UNACCENTED)
-    return F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    """Sort key without case and accents: what has no plain letter in it is left out."""
+    plain = F.translate(text, "".join(_PLAIN), "".join(_PLAIN.values()))
+    return F.lower(F.regexp_replace(plain, r"[^\x00-\x7F]", ""))

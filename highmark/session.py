@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,12 +37,12 @@ def build_session(
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting; on a cluster a machine-local
-    folder would be invisible to other executors.
+    Only tests, in a single process, may go without that setting; on a cluster, a local one
+    included, a machine-local folder would be invisible to other executors.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="highmark-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")

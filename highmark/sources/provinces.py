@@ -25,20 +25,30 @@ GROUP_NAMES = {
     "valladolid": "Valladolid", "zamora": "Zamora", "zaragoza": "Zaragoza",
 }
 
-# Spellings whose upper-case form differs from the id's.
-SPECIAL_SPELLINGS = {
-    "A CORUÑA": "a-coruna",
-    "ARABA/ALAVA": "araba-alava",
-    "ILLES BALEARS": "baleares",
-    "STA. CRUZ DE TENERIFE": "santa-cruz-de-tenerife",
+# Spelling of the source -> group id.
+ALIASES = {
+    "A CORUÑA": "a-coruna", "ALBACETE": "albacete", "ALICANTE": "alicante",
+    "ALMERIA": "almeria", "ARABA/ALAVA": "araba-alava", "ASTURIAS": "asturias",
+    "AVILA": "avila", "BADAJOZ": "badajoz", "BALEARES": "baleares", "BARCELONA": "barcelona",
+    "BIZKAIA": "bizkaia", "BURGOS": "burgos", "CACERES": "caceres", "CADIZ": "cadiz",
+    "CANTABRIA": "cantabria", "CASTELLON": "castellon", "CEUTA": "ceuta",
+    "CIUDAD REAL": "ciudad-real", "CORDOBA": "cordoba", "CUENCA": "cuenca",
+    "GIPUZKOA": "gipuzkoa", "GIRONA": "girona", "GRANADA": "granada",
+    "GUADALAJARA": "guadalajara", "HUELVA": "huelva", "HUESCA": "huesca",
+    "ILLES BALEARS": "baleares", "JAEN": "jaen", "LA RIOJA": "la-rioja",
+    "LAS PALMAS": "las-palmas", "LEON": "leon", "LLEIDA": "lleida", "LUGO": "lugo",
+    "MADRID": "madrid", "MALAGA": "malaga", "MELILLA": "melilla", "MURCIA": "murcia",
+    "NAVARRA": "navarra", "OURENSE": "ourense", "PALENCIA": "palencia",
+    "PONTEVEDRA": "pontevedra", "SALAMANCA": "salamanca",
+    "SANTA CRUZ DE TENERIFE": "santa-cruz-de-tenerife", "SEGOVIA": "segovia",
+    "SEVILLA": "sevilla", "SORIA": "soria", "STA. CRUZ DE TENERIFE": "santa-cruz-de-tenerife",
+    "TARRAGONA": "tarragona", "TERUEL": "teruel", "TOLEDO": "toledo", "VALENCIA": "valencia",
+    "VALLADOLID": "valladolid", "ZAMORA": "zamora", "ZARAGOZA": "zaragoza",
 }
 
 
 def alias_pairs() -> list[tuple[str, str]]:
-    """Every id in capitals, words separated by blanks, except where a special spelling replaces it."""
-    replaced = {"a-coruna", "araba-alava"}
-    plain = {g.upper().replace("-", " "): g for g in GROUP_NAMES if g not in replaced}
-    return sorted((plain | SPECIAL_SPELLINGS).items())
+    return list(ALIASES.items())
 
 
 def province_aliases(spark: SparkSession) -> DataFrame:

@@ -48,6 +48,16 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.parquet(path), OBSERVATIONS, DEFAULTS["observations"])
 
 
+def _stored_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table at ``path``, empty if there is no such path; whatever else is wrong is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def snapshot(tables: Mapping[str, DataFrame], path: str) -> None:
     """Write source tables as compressed parquet, one folder each; never over existing data."""
     unknown = set(tables) - set(SOURCE_SCHEMAS)
@@ -61,11 +71,7 @@ def restore(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Tables of a snapshot, by column name; a missing table comes back empty."""
     tables = {}
     for name, schema in SOURCE_SCHEMAS.items():
-        try:
-            stored = spark.read.parquet(f"{path}/{name}")
-        except AnalysisException:
-            stored = spark.createDataFrame([], schema)
-        tables[name] = conform(stored, schema, DEFAULTS.get(name))
+        tables[name] = conform(_stored_or_empty(spark, f"{path}/{name}", schema), schema, DEFAULTS.get(name))
     return tables
 
 
@@ -78,11 +84,7 @@ def restore_into(spark: SparkSession, path: str, target: str) -> dict[str, DataF
 
 def load_station_map(spark: SparkSession, path: str) -> DataFrame:
     """The stored summary-name map; before the first one is stored, an empty map."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        stored = spark.createDataFrame([], STATION_MAP)
-    return conform(stored, STATION_MAP)
+    return conform(_stored_or_empty(spark, path, STATION_MAP), STATION_MAP)
 
 
 def save_station_map(station_map: DataFrame, path: str) -> None:

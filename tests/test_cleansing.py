@@ -36,7 +36,7 @@ def test_cells_and_dates(spark):
     assert apply(spark, C.long_date_iso, ["Fecha: sábado, 11 julio 2026", "3 ENERO 2020", "1 foo 2020", "nada", None]) == [
         "2026-07-11", "2020-01-03", None, None, None,
     ]
-    assert apply(spark, C.accent_free_key, ["Ávila", "A Coruña"]) == ["avila", "a coruna"]
+    assert apply(spark, C.accent_free_key, ["Ávila", "A Coruña", "Åse ÝŠŽ", "ǅ½ øß"]) == ["avila", "a coruna", "ase ysz", " "]
 
 
 def test_daily_rows_without_key_are_dropped(spark):
