@@ -169,6 +169,43 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and keys of all four source tables after a snapshot and a restore."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    folder = work_folder(spark, "snapshot")
+    tables.snapshot(
+        {
+            "observations": resolve.as_observations(X.observations(spark, sf_dir, "part")),
+            "stations": X.stations(spark, sf_dir, "part"),
+            "month_ledger": X.month_log(spark, sf_dir),
+            "history_ledger": X.history_log(spark, sf_dir),
+        },
+        folder,
+    )
+    keys = {"observations": ["station_id"], "stations": ["station_id"], "month_ledger": ["year", "month"], "history_ledger": ["station_id"]}
+    parts = [
+        table.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*keys[name]).alias("n_keys"))
+        for name, table in tables.restore(spark, folder).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _months_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = clean.clean_daily(X.raw_daily(spark, sf_dir))
+    return planning.months_loaded(X.months(spark, sf_dir), rows, F.lit(7))
+
+
+def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored map lacks the names of region 4, the fresh one has all."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    named = X.summary_names(spark, sf_dir)
+    summary = X.observations(spark, sf_dir, "supplier").join(named, "station_id").drop("station_id")
+    known = X.aliases(spark, sf_dir).select(F.col("alias").alias("province"))
+    p = X.replace(X.SUPPLIER, summary_max_offset_days=1500)
+    return summaries.match_with_refresh(summary, named.join(known, "province", "left_semi"), named, p)[0]
+
+
 def _history(**switches: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         obs = X.observations(spark, sf_dir, "part")
@@ -233,6 +270,15 @@ def queries() -> dict[str, Query]:
         "purge_provisional": _over("part", lambda r: resolve.purge_provisional(r.obs, r.p)),
         "purged_count": _over("part", lambda r: resolve.purged_count(r.obs, r.p)),
         "snapshot_restore": _snapshot,
+        "snapshot_tables": _snapshot_tables,
+        "rejected_rows": _from(
+            X.raw_daily, lambda raw: clean.rejected_daily(raw).select("indicativo", "fecha", "reason")
+        ),
+        "months_loaded": _months_loaded,
+        "station_map_guard": _from(
+            X.station_pages, lambda pages: summaries.extract_station_map(pages, min_rows=4, strict=False)
+        ),
+        "match_with_refresh": _refresh,
         # ladder and coverage
         "coverage_segments": _over("part", lambda r: ladder.coverage_segments(r.obs, r.p)),
         "record_events": _over("part", lambda r: r.events),

@@ -13,7 +13,7 @@ from highmark.operators.clean import clean_daily, clean_stations, hourly_daily_e
 from highmark.params import RunParams
 from highmark.plans import documents as docs
 from highmark.sources.files import delete_files, write_files
-from highmark.sources.summaries import match_summary_stations, parse_daily_summary
+from highmark.sources.summaries import match_summary_stations, match_with_refresh, parse_daily_summary
 from highmark.sources.tables import read_observations, write_observations
 
 
@@ -22,7 +22,7 @@ class CycleInputs:
     """Stored state and new arrivals; every arrival may be missing on its own.
 
     ``pending`` holds the arrivals of earlier runs that ``observations`` lacks because those
-    runs did not rewrite it.
+    runs did not rewrite it. ``fresh_map`` replaces ``station_map`` where that leaves names over.
     """
 
     aliases: DataFrame
@@ -37,6 +37,7 @@ class CycleInputs:
     raw_hourly: DataFrame | None = None
     summary_files: DataFrame | None = None
     station_map: DataFrame | None = None
+    fresh_map: DataFrame | None = None
 
 
 def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
@@ -46,7 +47,11 @@ def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
         parts.append(hourly_daily_extremes(inputs.raw_hourly, p.local_tz))
     if inputs.summary_files is not None and inputs.station_map is not None:
         summary = parse_daily_summary(inputs.summary_files)
-        parts.append(match_summary_stations(summary, inputs.station_map, p)[0])
+        if inputs.fresh_map is None:
+            matched, _ = match_summary_stations(summary, inputs.station_map, p)
+        else:
+            matched, _ = match_with_refresh(summary, inputs.station_map, inputs.fresh_map, p)
+        parts.append(matched)
     if not parts:
         return None
     merged = parts[0]

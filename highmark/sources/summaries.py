@@ -166,10 +166,11 @@ def _all(tests: list[Column]) -> Column:
     return result
 
 
-def extract_station_map(pages: DataFrame, min_rows: int = MAP_MIN_ROWS) -> DataFrame:
+def extract_station_map(pages: DataFrame, min_rows: int = MAP_MIN_ROWS, strict: bool = True) -> DataFrame:
     """``name, province, station_id`` out of the ``html`` of each page.
 
-    A page with fewer than ``min_rows`` matches fails the job: its layout has changed.
+    A page with fewer than ``min_rows`` matches has changed its layout: it fails the job, or, not
+    ``strict``, is left out, so that ``match_with_refresh`` goes on with the stored map.
     Of repeated names the last one on the page, and of pages the last by ``page_id``, counts.
     """
 
@@ -183,7 +184,7 @@ def extract_station_map(pages: DataFrame, min_rows: int = MAP_MIN_ROWS) -> DataF
     return (
         pages.select(page.alias("page_id"), "html")
         .withColumn("found", F.arrays_zip(group(1).alias("id"), group(2).alias("name"), group(3).alias("province")))
-        .filter(F.when(F.size("found") < min_rows, few).otherwise(True))
+        .filter(F.when(F.size("found") < min_rows, few if strict else F.lit(False)).otherwise(True))
         .select("page_id", F.posexplode("found").alias("pos", "row"))
         .groupBy(
             C.stripped(F.col("row.name")).alias("name"),
@@ -210,11 +211,14 @@ def match_summary_stations(
 def match_with_refresh(
     summary: DataFrame, cached_map: DataFrame, fresh_map: DataFrame, p: RunParams
 ) -> tuple[DataFrame, DataFrame]:
-    """Match once more with a fresh map if the cached one leaves names over.
+    """Match with the fresh map if the cached one leaves names over and the fresh one has rows.
 
-    A refreshed map replaces the cached one as a whole.
+    A refreshed map replaces the cached one as a whole. Which one counts is a value that the query
+    works out itself: building it runs nothing.
     """
-    matched, unmatched = match_summary_stations(summary, cached_map, p)
-    if unmatched.isEmpty():
-        return matched, unmatched
-    return match_summary_stations(summary, fresh_map, p)
+    left_over = match_summary_stations(summary, cached_map, p)[1]
+    some = lambda df: F.coalesce(df.agg(F.count(F.lit(1)) > 0).scalar(), F.lit(False))
+    refresh = some(left_over) & some(fresh_map)
+    columns = ["name", "province", "station_id"]
+    chosen = cached_map.select(columns).where(~refresh).unionByName(fresh_map.select(columns).where(refresh))
+    return match_summary_stations(summary, chosen, p)

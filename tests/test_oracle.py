@@ -26,5 +26,7 @@ def test_query(spark, sf_dir, con, name):
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_sql_is_not_empty(con, name):
+def test_sql_is_not_empty(con, sf_dir, name):
+    if name == "station_map_guard" and sf_dir.endswith("sf0.001"):
+        pytest.skip("no province has two suppliers there: the guard leaves every page out")
     assert con.execute(f"SELECT count(*) FROM ({SQL[name]})").fetchone()[0] > 0
