@@ -71,15 +71,17 @@ def resolve_observations(log: DataFrame) -> DataFrame:
 def _split_by_day(stored: DataFrame, arriving: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored rows on days with arrivals, and all others, without shuffling either.
 
-    The broadcast side is the distinct days, so the calendar bounds it.
+    The broadcast side is the distinct days, so the calendar bounds it. A stored table that has
+    its ``year`` is read for the days' years only where rows on them are looked for.
     """
-    days = F.broadcast(arriving.select("obs_date").distinct())
-    return stored.join(days, "obs_date", "left_semi"), stored.join(days, "obs_date", "left_anti")
+    keys = ["year", "obs_date"] if "year" in stored.columns else ["obs_date"]
+    days = F.broadcast(arriving.select(F.year("obs_date").alias("year"), "obs_date").distinct().select(keys))
+    return as_observations(stored.join(days, keys, "left_semi")), as_observations(stored.join(days, keys, "left_anti"))
 
 
 def apply_arrivals(stored: DataFrame, arrivals: DataFrame) -> DataFrame:
     """The keyed table after an arrival log; only days on which something arrived are resolved."""
-    touched, rest = _split_by_day(as_observations(stored), arrivals)
+    touched, rest = _split_by_day(stored, arrivals)
     before_all = touched.withColumn("seq", F.lit(-1).cast("bigint"))
     resolved = resolve_observations(before_all.unionByName(arrivals))
     return resolved.unionByName(rest.withColumn("provisional", is_provisional()))
@@ -103,7 +105,7 @@ def _daily_extremes(incoming: DataFrame) -> DataFrame:
 
 def merge_provisional(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Add provisional extremes to a keyed table without touching a definitive row."""
-    touched, rest = _split_by_day(as_observations(current), incoming)
+    touched, rest = _split_by_day(current, incoming)
     old = touched.withColumn("known", F.lit(True))
     both = old.join(_daily_extremes(incoming), KEY, "full_outer")
     keep = F.col("known").isNotNull() & is_definitive()

@@ -43,11 +43,12 @@ def group_lookup(stations: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def _dated(df: DataFrame, p: RunParams) -> DataFrame:
-    """Rows from ``min_year`` on; a date bound also prunes files and partitions."""
+    """Rows from ``min_year`` on; a stored table's own ``year`` prunes its partitions."""
     first_day = F.make_date(F.lit(p.min_year), F.lit(1), F.lit(1))
-    return df.filter(F.col("obs_date") >= first_day).select(
-        "*", F.year("obs_date").alias("year"), F.month("obs_date").alias("obs_month")
-    )
+    kept = df.filter(F.col("obs_date") >= first_day)
+    if "year" in df.columns:
+        kept = kept.filter(F.col("year") >= p.min_year)
+    return kept.withColumns({"year": F.year("obs_date"), "obs_month": F.month("obs_date")})
 
 
 def _per_station(df: DataFrame, monthly: bool) -> list[Column]:

@@ -12,7 +12,7 @@ from highmark.operators import ladder, planning, publication, resolve, stations
 from highmark.operators.clean import clean_daily, clean_stations, hourly_daily_extremes
 from highmark.params import RunParams
 from highmark.plans import documents as docs
-from highmark.sources.files import delete_files, write_files
+from highmark.sources.files import delete_files, write_document, write_files
 from highmark.sources.summaries import match_summary_stations, match_with_refresh, parse_daily_summary
 from highmark.sources.tables import read_observations, write_observations
 
@@ -91,8 +91,11 @@ def current_observations(
         if log is None:
             raise ValueError("nothing stored and nothing arrived")
         return resolve.resolve_observations(log)
-    stored = resolve.purge_provisional(resolve.as_observations(inputs.observations), p)
-    return stored if log is None else resolve.apply_arrivals(stored, log)
+    known = inputs.observations
+    if "provisional" not in known.columns:
+        known = resolve.as_observations(known)
+    stored = resolve.purge_provisional(known, p)
+    return resolve.as_observations(stored) if log is None else resolve.apply_arrivals(stored, log)
 
 
 def current_stations(inputs: CycleInputs) -> DataFrame:
@@ -195,9 +198,7 @@ def publish(result: dict[str, DataFrame], base: str) -> None:
             result[name].select(F.lit(f"{name}.json").alias("path"), "text")
         )
     write_files(named, base)
-    docs.summary_array_lines(result["station_summary"]).write.mode("overwrite").text(
-        f"{base}/stations.json"
-    )
+    write_document(docs.summary_array_lines(result["station_summary"]), f"{base}/stations.json", "[]")
     if "delta" in result:
         delete_files(result["delta"], base)
 

@@ -39,6 +39,38 @@ def write_files(rows: DataFrame, base: str) -> None:
     rows.select("path", "text").foreachPartition(write)
 
 
+def write_document(lines: DataFrame, target: str, empty: str) -> None:
+    """One file out of sorted ``text`` rows, ``empty`` if there are none.
+
+    Spark writes the parts beside the target; the driver's store client then streams them, in
+    order and a few bytes at a time, into one hidden file that takes the target's place.
+    """
+    import posixpath
+    import shutil
+    import uuid
+
+    folder, name = posixpath.split(target)
+    beside = f"{folder}/.{uuid.uuid4().hex}"
+    lines.select("text").write.text(beside)
+    store, root = _open(folder)
+    parts = sorted(f.path for f in store.get_file_info(_inside(posixpath.join(root, posixpath.basename(beside)))) if posixpath.basename(f.path).startswith("part-") and f.size)
+    hidden = posixpath.join(root, f".{uuid.uuid4().hex}")
+    with store.open_output_stream(hidden) as out:
+        if not parts:
+            out.write(empty.encode("utf-8"))
+        for part in parts:
+            with store.open_input_stream(part) as lines_of:
+                shutil.copyfileobj(lines_of, out, 1 << 20)
+    store.move(hidden, posixpath.join(root, name))
+    store.delete_dir(posixpath.join(root, posixpath.basename(beside)))
+
+
+def _inside(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSelector(folder)
+
+
 def delete_files(delta: DataFrame, base: str) -> None:
     """Remove the paths whose action is ``delete``; one that is already gone is no error."""
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from highmark.operators.resolve import conform
 from highmark.schemas import (
@@ -24,19 +25,18 @@ DEFAULTS = {"observations": {"provisional": False}}
 
 
 def write_observations(obs: DataFrame, path: str, files_per_year: int | None = None) -> None:
-    """Observations by year, several files each, sorted so that footers prune by station.
+    """Observations by year, sorted within each file so that footers prune by station.
 
-    Stations are spread over the files of a year by hash, so a large station still only
-    adds its one row per day to one of them. By default a year may spread over as many
-    tasks as a shuffle has; adaptive execution merges them where the data is small.
+    By default adaptive execution sizes the files: it splits years that are large and merges what
+    is small. ``files_per_year`` sets their number by hash instead.
     """
+    rows = conform(obs, OBSERVATIONS, DEFAULTS["observations"]).withColumn("year", F.year("obs_date"))
     if files_per_year is None:
-        files_per_year = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64("station_id"), F.lit(files_per_year))
+        rows = rows.hint("rebalance", F.col("year"), F.col("station_id"))
+    else:
+        rows = rows.repartition("year", F.pmod(F.xxhash64("station_id"), F.lit(files_per_year)))
     (
-        obs.withColumn("year", F.year("obs_date"))
-        .repartition("year", spread)
-        .sortWithinPartitions("year", "station_id", "obs_date")
+        rows.sortWithinPartitions("year", "station_id", "obs_date")
         .write.mode("errorifexists")
         .option("compression", "zstd")
         .partitionBy("year")
@@ -45,7 +45,9 @@ def write_observations(obs: DataFrame, path: str, files_per_year: int | None = N
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(path), OBSERVATIONS, DEFAULTS["observations"])
+    """Declared columns and ``year``, by which readers that filter or join on it prune files."""
+    dated = T.StructType([*OBSERVATIONS.fields, T.StructField("year", T.IntegerType())])
+    return conform(spark.read.parquet(path), dated, DEFAULTS["observations"])
 
 
 def _stored_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

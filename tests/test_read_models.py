@@ -12,6 +12,7 @@ from highmark.params import RunParams
 from highmark.plans import daily, documents
 from highmark.schemas import STATIONS
 from highmark.sources import provinces
+from highmark.sources.files import write_document
 
 P = RunParams(as_of=date(2020, 12, 31), active_min_days=1)
 EVENTS = "station_id string, kind string, obs_date date, month int, value double, prev_value double, provisional boolean, days_since_prev int"
@@ -191,9 +192,9 @@ def test_full_cycle_writes_every_document(spark, tmp_path):
     assert len(stats_doc["anual"]) == 53 and len(stats_doc["anual"]["soria"]) == 6
     assert stats_doc["anual"]["soria"][0][4] == 1 and stats_doc["mensual"]["madrid"][0] == [0] * 7
     assert json.loads((site / "rankings.json").read_text())["generadoEn"] == "now"
-    parts = sorted((site / "stations.json").glob("part-*"))
-    listed = json.loads("".join(p.read_text() for p in parts))
+    listed = json.loads((site / "stations.json").read_text())
     assert [s["indicativo"] for s in listed] == ["a"]
+    assert not [f for f in site.iterdir() if f.name.startswith(".") and not f.name.endswith(".crc")]
     assert result["record_events_new"].count() == 0
     # The next run starts from the stored version and reports only what is new.
     follow = daily.CycleInputs(
@@ -206,13 +207,21 @@ def test_full_cycle_writes_every_document(spark, tmp_path):
     # Without a rewrite the arrivals stay pending and give the same table.
     light = daily.daily_cycle(spark, follow, P, str(tmp_path / "v3"), rewrite=False)
     assert not (tmp_path / "v3" / "observations").exists()
-    same = sorted(again["observations"].collect(), key=repr)
+    same = sorted(again["observations"].drop("year").collect(), key=repr)
     assert sorted(light["observations"].collect(), key=repr) == same
     later = daily.CycleInputs(aliases=inputs.aliases, names=inputs.names, observations=result["observations"], pending=light["arrivals"])
     log = daily.arrivals(later, P)
     assert sorted(daily.current_observations(later, log, P).collect(), key=repr) == same
 
 
+def test_document_of_no_rows_is_an_empty_array(spark, tmp_path):
+    lines = spark.createDataFrame([(f"{i}",) for i in range(50)], "text string").orderBy("text")
+    write_document(lines.where("text < ''"), f"file://{tmp_path}/stations.json", "[]")
+    assert (tmp_path / "stations.json").read_text() == "[]"
+    write_document(lines, f"file://{tmp_path}/stations.json", "[]")
+    assert (tmp_path / "stations.json").read_text().split() == sorted(str(i) for i in range(50))
+
+
 def test_coverage_ignores_provisional_but_gaps_do_not(spark):
     rows = [("a", date(2020, 1, 1), 1.0, None, False), ("a", date(2020, 1, 5), 1.0, None, True), ("a", date(2020, 1, 20), None, 1.0, None), ("a", date(2020, 1, 9), None, None, False)]
     obs = spark.createDataFrame(rows, "station_id string, obs_date date, tmax double, tmin double, provisional boolean")
