@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from llm.common import table
@@ -35,7 +36,7 @@ def _bind(value: Column, f) -> Column:
 
 def _below(hashes: Column, scale: int) -> Column:
     """Hashes below the fixed share, or else the smallest; sorted, each once."""
-    low = F.filter(hashes, lambda x: x < LONG_MIN + (1 << 64) // scale)
+    low = F.filter(hashes, lambda x: x <= LONG_MIN + (1 << 64) // scale - 1)
     return _bind(low, lambda x: F.when(F.size(x) > 0, F.sort_array(F.array_distinct(x))).otherwise(F.slice(F.array(F.array_min(hashes)), 1, F.least(F.size(hashes), F.lit(1)))))
 
 
@@ -95,46 +96,50 @@ def _next_block(blocks: DataFrame) -> DataFrame:
     return low.select("block", F.coalesce("inner", "after_head").alias("next_block"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, sketch`` of each row and ``next_text, next_sketch`` of the one after it,
-    ascending; after the last comes the first.
+def edited(text: Column, following: Column) -> Column:
+    """``text`` with its last floor(n/2) characters replaced by the first as many of ``following``."""
+    n = F.char_length(text)
+    cut = F.floor(n / 2).cast("int")
+    return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(following, F.lit(1), cut))
+
 
-    Rows meet in blocks of ids, at most ``BLOCK`` ids each; only the first row of a block travels
-    once more, to the last row of the block before it.
+def edited_sketches(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_chars, edited_sha256, sketch, edited_sketch, next_sketch`` of every row.
+
+    Rows meet the next one (ascending id; after the last comes the first) in blocks of ids, at most
+    ``BLOCK`` ids each: texts are dealt out by block once, and all that follows reads that exchange.
+    The last row of a block gets the first of the next one in a join of such rows only.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("sketch", sketch(F.col("text")))
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("doc_id") / BLOCK).cast("long"), F.lit(LONG_MIN // BLOCK)))
-    ids = docs.select(F.coalesce(F.floor(F.col("doc_id").cast("long") / BLOCK).cast("long"), F.lit(LONG_MIN // BLOCK)).alias("block"))
+    block = F.coalesce(F.floor(F.col("doc_id").cast("long") / BLOCK).cast("long"), F.lit(LONG_MIN // BLOCK)).alias("block")
+    # a long stays as it is: another name for it would keep the branches from sharing the exchange
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(block, doc_id, F.coalesce("text", F.lit("")).alias("text")).repartition("block")
     order = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    linked = rows.select(
-        "*",
-        F.row_number().over(order).alias("place"),
-        F.lead("text").over(order).alias("next_text"),
-        F.lead("sketch").over(order).alias("next_sketch"),
+    inner = rows.withColumn("sketch", sketch(F.col("text"))).select(
+        "doc_id", "text", "sketch", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")
     )
-    blocks = ids.distinct()
+    inner = inner.where("next_text IS NOT NULL")
+    heads = rows.select("block", "text", F.row_number().over(order).alias("place")).where("place = 1")
+    heads = heads.select(F.col("block").alias("next_block"), F.col("text").alias("next_text"))
+    tails = rows.select("block", "doc_id", "text", F.lead("text").over(order).isNull().alias("last")).where("last")
+    blocks = docs.select(block).distinct()
     first = blocks.agg(F.min("block")).first()[0]  # one number; null without rows
     chain = _next_block(blocks).select("block", F.coalesce("next_block", F.lit(first)).alias("next_block"))
-    heads = linked.where("place = 1").select(F.col("block").alias("next_block"), F.col("text").alias("head_text"), F.col("sketch").alias("head_sketch"))
-    tails = linked.where("next_text IS NULL").join(chain, "block").join(heads, "next_block")
-    columns = ["doc_id", "text", "sketch"]
-    return linked.where("next_text IS NOT NULL").select(*columns, "next_text", "next_sketch").unionByName(
-        tails.select(*columns, F.col("head_text").alias("next_text"), F.col("head_sketch").alias("next_sketch"))
+    tails = tails.join(chain, "block").join(heads, "next_block")
+    tails = tails.select("doc_id", "text", sketch(F.col("text")).alias("sketch"), "next_text", sketch(F.col("next_text")).alias("next_sketch"))
+    both = inner.unionByName(tails).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    return both.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "sketch",
+        sketch(F.col("edited")).alias("edited_sketch"),
+        "next_sketch",
     )
 
 
-def edited(text: Column, following: Column) -> Column:
-    """``text`` with its last floor(n/2) characters replaced by the first as many of ``following``."""
-    n = F.char_length(text)
-    cut = F.floor(n / 2).cast("int")
-    return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(following, F.lit(1), cut))
-
-
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_next(table(spark, sf_dir, "documents"))
-    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "sketch", "next_sketch", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    rows = rows.select("doc_id", "n_chars", "sketch", "next_sketch", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited")).alias("edited_sketch"))
+    rows = edited_sketches(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id",
         "n_chars",
