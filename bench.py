@@ -26,6 +26,10 @@ HEADLINE = [
     "recent_records",
     "station_summary",
     "station_documents",
+    "stats_document",
+    "rankings_document",
+    "merge_provisional",
+    "parse_daily_summary",
     "daily_cycle",
 ]
 
@@ -45,6 +49,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").count().count()
     queries = catalog.queries()
+    # one pass that is not counted, on the smallest data: code is compiled, workers are up
+    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    for name in names if os.path.isdir(warm) else []:
+        queries[name](spark, warm).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
         start = time.perf_counter()

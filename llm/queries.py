@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from llm.byte_bpe import op1_byte_bpe
-from llm import exact_search
+from llm import exact_search, near_dedup
 from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
 from llm.language_model import op9_language_model
-from llm.near_dedup import op10_near_dedup
 from llm.packing import op7_packing
 from llm.quality import op4_quality
 
@@ -19,6 +18,9 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_language_model": op9_language_model,
-    "op10_near_dedup": op10_near_dedup,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
+}
+SQL: dict[str, str] = {
+    "op3_exact_search": exact_search.SQL,
+    "op10_near_dedup": near_dedup.SQL,
 }
-SQL: dict[str, str] = {"op3_exact_search": exact_search.SQL}

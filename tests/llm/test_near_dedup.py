@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import compare
 import edge
 from llm import near_dedup
 from llm.common import words_of
@@ -63,7 +64,9 @@ def test_edge_rows(spark, edge_docs, no_docs):
 
 def test_documents(spark, sf_dir, sf_docs):
     rows = [(r["doc_id"], r["text"]) for r in sf_docs.collect()]
-    same(near_dedup.op10_near_dedup(spark, sf_dir), rows)
+    result = near_dedup.op10_near_dedup(spark, sf_dir)
+    same(result, rows)
+    assert compare.difference(result, compare.connect(sf_dir), near_dedup.SQL) is None
 
 
 @pytest.mark.parametrize("block", [2048, 16])
