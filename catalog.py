@@ -228,21 +228,48 @@ def _published(r: Run) -> DataFrame:
     return publication.publication_delta(publication.document_manifest(r.coverage, r.stations), paths)
 
 
-def _cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ladder at the end of a full cycle: stored rows plus definitive, hourly and summary arrivals."""
-    r = Run(spark, sf_dir, "supplier")
-    inputs = daily.CycleInputs(
+def _cycle_inputs(r: Run, sf_dir: str) -> daily.CycleInputs:
+    """Stored rows plus definitive, hourly and summary arrivals; the stored map lacks region 4."""
+    names = X.summary_names(r.spark, sf_dir)
+    known = r.aliases.select(F.col("alias").alias("province"))
+    return daily.CycleInputs(
         aliases=r.aliases,
         names=r.names,
         observations=r.obs,
         stations=r.stations,
-        raw_daily=X.confirmations(spark, sf_dir),
-        raw_hourly=X.raw_hourly(spark, sf_dir),
-        summary_files=X.summary_files(spark, sf_dir),
-        station_map=X.summary_names(spark, sf_dir),
+        raw_daily=X.confirmations(r.spark, sf_dir),
+        raw_hourly=X.raw_hourly(r.spark, sf_dir),
+        summary_files=X.summary_files(r.spark, sf_dir),
+        station_map=names.join(known, "province", "left_semi"),
+        fresh_map=names,
     )
+
+
+def _cycle(what: str) -> Query:
+    """A table at the end of a full cycle, with the ladder of an earlier day as the previous one."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        r = Run(spark, sf_dir, "supplier")
+        inputs = _cycle_inputs(r, sf_dir)
+        before = r.obs.filter(F.col("obs_date") <= F.lit(PREVIOUS_RUN))
+        inputs.previous_events = ladder.record_events(before, r.p)
+        p = X.replace(r.p, local_tz="UTC")
+        return daily.daily_cycle(spark, inputs, p, work_folder(spark, "cycle"))[what]
+
+    return run
+
+
+def _cycle_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed table of a run after one that stored only its arrivals."""
+    r = Run(spark, sf_dir, "supplier")
     p = X.replace(r.p, local_tz="UTC")
-    return daily.daily_cycle(spark, inputs, p, work_folder(spark, "cycle"))["record_events"]
+    inputs = _cycle_inputs(r, sf_dir)
+    log = daily.arrivals(inputs, p)
+    folder = work_folder(spark, "pending")
+    log.write.parquet(folder)
+    later = daily.CycleInputs(aliases=r.aliases, names=r.names, observations=r.obs, pending=spark.read.parquet(folder))
+    table = daily.current_observations(later, daily.arrivals(later, p), p)
+    return table.select("station_id", "obs_date", "tmax", "tmin", "provisional")
 
 
 def queries() -> dict[str, Query]:
@@ -319,7 +346,9 @@ def queries() -> dict[str, Query]:
         "ingest_plan_days": _over("supplier", lambda r: planning.days_without_definitive(r.obs, X.replace(r.p, summary_back_days=20))),
         "history_plan": _history(),
         "history_plan_all": _history(include_all=True, include_complete=True),
-        "daily_cycle": _cycle,
+        "daily_cycle": _cycle("record_events"),
+        "daily_cycle_new_events": _cycle("record_events_new"),
+        "daily_cycle_pending": _cycle_pending,
     }
     for name, kind in (("max", ALL_MAX), ("min", ALL_MIN)):
         result[f"top_alltime_{name}"] = _over(
