@@ -7,14 +7,18 @@ from llm import exact_search, near_dedup
 from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
 from llm.language_model import op9_language_model
+from llm.lengths import op6_length_histogram
 from llm.packing import op7_packing
 from llm.quality import op4_quality
+from llm.training_order import op5_training_order
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_fingerprints": op2_fingerprints,
     "op3_exact_search": exact_search.op3_exact_search,
     "op4_quality": op4_quality,
+    "op5_training_order": op5_training_order,
+    "op6_length_histogram": op6_length_histogram,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_language_model": op9_language_model,
