@@ -18,6 +18,8 @@ from llm.packing import pack_documents
 from llm.quality import HELD_OUT as QUALITY_FOLDS
 from llm.quality import THRESHOLD, fit_quality, quality_scores
 
+#: Percent of common shingles from which on two documents are near copies; see the README.
+NEAR_PERCENT = 85
 #: Quality, language identification and packing have no SQL form; tests hold stages against plain loops.
 ORACLE_SQL = None
 
@@ -45,7 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return one_of_each(docs)
+    return one_of_each(docs, NEAR_PERCENT)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

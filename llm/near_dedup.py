@@ -4,7 +4,7 @@ A document's set holds its distinct 5-word shingles. Two permutations make all s
 coordinates: the first scatters the shingles over a ring of 2^32 places, the second ranks the
 places; coordinate k is the least rank after a circular shift by k steps. ``BANDS`` x ``ROWS``
 coordinates give the band keys: at a Jaccard similarity of 0.85 a pair shares none with a chance of
-4e-7. What shares a key is compared:
+4e-7. A lower threshold takes as many more bands as that chance needs. What shares a key is compared:
 
 * equal sets are one class from the start, represented by its smallest id;
 * keys of at most ``SMALL`` classes give all their pairs;
@@ -13,7 +13,7 @@ coordinates give the band keys: at a Jaccard similarity of 0.85 a pair shares no
   it are compared block against block in tasks, each block with its own component left out of the
   comparisons with itself; a task returns the links of a spanning forest, never all pairs.
 
-Candidates pass bounds first (set sizes, then equal coordinates, far below what 0.85 can give) and
+Candidates pass bounds first (set sizes, then equal coordinates, far below what the threshold can give) and
 are then confirmed on full sets of 64-bit shingle hashes.
 
 Defined results: a null or empty text or one without words has an empty set and no links; fewer
@@ -24,6 +24,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,8 @@ from llm.common import in_tasks, slices, stored, table, words_of
 WORDS, PERCENT = 5, 85
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
-#: Equal coordinates below which a pair cannot be alike: more than six deviations under 0.85.
-LEAST_EQUAL = int(0.58 * COORDINATES)
+#: Greatest chance that a pair at the threshold shares no band.
+MISS = 4e-7
 SMALL = 16
 BLOCK_ROWS, BLOCK_BYTES = 2048, 32 << 20
 STRIDE = np.uint32(0x9E3779B1)
@@ -48,6 +49,17 @@ SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, signat
 MARK_BITS, MARK_BLOCK = 26, 1 << 20
 
 
+def bands_for(percent: int) -> int:
+    """Bands of ``ROWS`` coordinates that a threshold of ``percent`` needs."""
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def least_equal(percent: int, coordinates: int) -> int:
+    """Equal coordinates below which a pair cannot be alike: more than six deviations under the threshold."""
+    share = percent / 100
+    return int(share * coordinates - 6.7 * math.sqrt(coordinates * share * (1 - share)))
+
+
 def _mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -72,13 +84,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix64(total))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """Least rank of each of the shifted places, by coordinate."""
     place = (shingles >> np.uint64(32)).astype(np.uint32)
     place = (place ^ (place >> np.uint32(15))) * np.uint32(0x2C1B3C6D)  # the first permutation
     place ^= place >> np.uint32(12)
-    least = np.full(COORDINATES, 0xFFFFFFFF, dtype=np.uint32)
-    shifts = (np.arange(COORDINATES, dtype=np.uint32) * STRIDE)[:, None]
+    least = np.full(coordinates, 0xFFFFFFFF, dtype=np.uint32)
+    shifts = (np.arange(coordinates, dtype=np.uint32) * STRIDE)[:, None]
     for start in range(0, len(place), 2048):
         rank = place[None, start : start + 2048] + shifts
         rank ^= rank >> np.uint32(16)  # the second permutation
@@ -90,15 +102,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def sign_batches(batches: Iterator) -> Iterator:
+def sign_batches(batches: Iterator, bands: int = BANDS) -> Iterator:
     import xxhash
 
-    salt = np.arange(1, BANDS + 1, dtype=np.uint64) * _FACTORS[0]
+    salt = np.arange(1, bands + 1, dtype=np.uint64) * _FACTORS[0]
     for batch in batches:
         for part in slices(batch):
             sets = [shingle_set(t) for t in part["text"].to_pylist()]
-            signatures = np.stack([signature(s) for s in sets]).astype(np.uint64).reshape(len(sets), BANDS, ROWS)
-            keys = np.zeros((len(sets), BANDS), dtype=np.uint64) + salt
+            signatures = np.stack([signature(s, bands * ROWS) for s in sets]).astype(np.uint64).reshape(len(sets), bands, ROWS)
+            keys = np.zeros((len(sets), bands), dtype=np.uint64) + salt
             for r in range(ROWS):
                 keys = _mix64(keys + signatures[:, :, r] * _FACTORS[r + 1])
             some = np.array([len(s) > 0 for s in sets])
@@ -141,15 +153,15 @@ def set_batches(batches: Iterator, marks: np.ndarray) -> Iterator:
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sets, pa.binary())], ["rep", "shingles"])
 
 
-def similar_batches(batches: Iterator) -> Iterator:
-    """Pairs with enough equal coordinates."""
+def similar_batches(batches: Iterator, coordinates: int, least: int) -> Iterator:
+    """Pairs with ``least`` equal coordinates."""
     for batch in batches:
         if batch.num_rows:
-            a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u2").reshape(-1, COORDINATES) for c in ("signature_a", "signature_b"))
-            yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(1) >= LEAST_EQUAL))
+            a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u2").reshape(-1, coordinates) for c in ("signature_a", "signature_b"))
+            yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(1) >= least))
 
 
-def confirm_batches(batches: Iterator) -> Iterator:
+def confirm_batches(batches: Iterator, percent: int) -> Iterator:
     """Pairs whose full sets are alike."""
     for batch in batches:
         for part in slices(batch):
@@ -157,7 +169,7 @@ def confirm_batches(batches: Iterator) -> Iterator:
             for a, b in zip(part["shingles_a"].to_pylist(), part["shingles_b"].to_pylist()):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                alike.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+                alike.append(100 * common >= percent * (len(x) + len(y) - common))
             yield part.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
 
@@ -203,7 +215,7 @@ def forest(a: np.ndarray, b: np.ndarray, start: dict) -> list[tuple]:
     return out
 
 
-def compare_blocks(group: pa.Table) -> pa.Table:
+def compare_blocks(group: pa.Table, percent: int = PERCENT) -> pa.Table:
     """Links between two blocks of a family, or inside one, that join different components."""
     sides = [group.filter(pa.compute.equal(group["side"], s)) for s in (0, 1)]
     within = sides[1].num_rows == 0
@@ -216,18 +228,20 @@ def compare_blocks(group: pa.Table) -> pa.Table:
     common = common_counts(sets[0], sets[second])
     n = [np.array([len(s) for s in x], dtype=np.float32) for x in (sets[0], sets[second])]
     for i in range(len(ids[0])):
-        alike = np.nonzero(100 * common[i] >= PERCENT * (n[0][i] + n[1] - common[i]))[0]
+        alike = np.nonzero(100 * common[i] >= percent * (n[0][i] + n[1] - common[i]))[0]
         other = alike[parts[second][alike] != parts[0][i]]
         links += forest(np.full(len(other), ids[0][i]).tolist(), ids[second][other].tolist(), start) if len(other) else []
     links = forest([x for x, _ in links], [y for _, y in links], start)
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def near_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of distinct pairs ``a, b`` those that set sizes and coordinates leave possible."""
     sides = [classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"signature_{s}")) for s in "ab"]
-    near = pairs.join(sides[0], "a").join(sides[1], "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    return near.select("a", "b", "signature_a", "signature_b").mapInArrow(in_tasks("llm.near_dedup", "similar_batches"), "a long, b long")
+    near = pairs.join(sides[0], "a").join(sides[1], "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    coordinates = bands_for(percent) * ROWS
+    call = in_tasks("llm.near_dedup", "similar_batches", coordinates, least_equal(percent, coordinates))
+    return near.select("a", "b", "signature_a", "signature_b").mapInArrow(call, "a long, b long")
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -248,11 +262,11 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted.select("rep"), "rep", "left_semi").dropDuplicates(["rep", "shingles"])
 
 
-def confirmed(near: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(near: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of pairs ``a, b`` those whose full sets are alike."""
     whole = [sets.select(F.col("rep").alias(s), F.col("shingles").alias(f"shingles_{s}")) for s in "ab"]
     both = near.join(whole[0], "a").join(whole[1], "b").select("a", "b", "shingles_a", "shingles_b")
-    return both.mapInArrow(in_tasks("llm.near_dedup", "confirm_batches"), "a long, b long")
+    return both.mapInArrow(in_tasks("llm.near_dedup", "confirm_batches", percent), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -274,7 +288,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def family_links(family: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def family_links(family: DataFrame, labels: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links inside families (``centre, rep``) between different components, block against block."""
     part = family.join(labels, family["rep"] == labels["node"], "left").select("centre", "rep", F.coalesce("component", "rep").alias("component"))
     centre = labels.select(F.col("node").alias("centre"), F.col("component").alias("core"))
@@ -291,13 +305,13 @@ def family_links(family: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
     others = F.when(F.col("core"), F.sequence(F.lit(0), F.col("rest") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") + F.col("cores") - 1))
     rows = rows.withColumn("other", F.explode(others))
     rows = rows.select("centre", "rep", "component", "shingles", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return rows.groupBy("centre", "one", "two").applyInArrow(in_tasks("llm.near_dedup", "compare_blocks"), "a long, b long")
+    return rows.groupBy("centre", "one", "two").applyInArrow(in_tasks("llm.near_dedup", "compare_blocks", percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row; alike from ``percent`` of common shingles on."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(rows.mapInArrow(in_tasks("llm.near_dedup", "sign_batches"), SIGNED), "signed")
+    signed = stored(rows.mapInArrow(in_tasks("llm.near_dedup", "sign_batches", bands_for(percent)), SIGNED), "signed")
     known = signed.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bands", "signature"), "doc_id").alias("of"))
     classes = stored(classes.select("digest", "rep", F.col("of.n_shingles").alias("n"), "of.bands", "of.signature"), "classes")
@@ -315,10 +329,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = family.where("centre <> rep").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
 
     reps = classes.select("rep", "n", "signature")
-    near = stored(near_pairs(pairs.union(star).distinct(), reps), "near-pairs")
+    near = stored(near_pairs(pairs.union(star).distinct(), reps, percent), "near-pairs")
     wanted = near.select(F.col("a").alias("rep")).union(near.select("b")).union(family.select("rep")).distinct()
     sets = stored(wanted_sets(rows, wanted), "sets")
-    links = stored(confirmed(near, sets), "links")
+    links = stored(confirmed(near, sets, percent), "links")
     # rows of one id that differ are one document
     same = classes.join(known.select("doc_id", "digest").distinct(), "digest").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
     repeated = known.select("doc_id", "digest").distinct().groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
@@ -326,15 +340,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.unionByName(same)
     labels = components(links)
     if not family.isEmpty():
-        labels = components(links.unionByName(family_links(family, labels, sets)))
+        labels = components(links.unionByName(family_links(family, labels, sets, percent)))
     out = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left").join(labels, F.col("rep") == labels["node"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, and every row without an id."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    kept = near_duplicates(docs, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
     place = "place"
     while place in docs.columns:
         place += "_"

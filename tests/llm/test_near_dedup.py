@@ -106,3 +106,16 @@ def test_common_counts():
     sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(7)]
     got = near_dedup.common_counts(sets[:3], sets)
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:3]]
+
+
+def test_threshold_is_an_argument(spark):
+    """Copies between 0.80 and 0.85: apart for op10, one from 80 percent on; also in a family beyond pairs."""
+    base = [f"b{i}" for i in range(300)]
+    copy = lambda k, n: " ".join(f"e{k}_{i}" if i in range(10, 10 + 10 * n, 10) else w for i, w in enumerate(base))
+    rows = [(1, " ".join(base), "en"), (2, copy(2, 6), "en"), (3, copy(3, 7), "en")]  # 266/326, 261/331
+    result = lambda rows, *percent: [r["component_id"] for r in near_dedup.near_duplicates(edge.frame(spark, rows), *percent).orderBy("doc_id").collect()]
+    assert result(rows) == [1, 2, 3] and result(rows, 80) == [1, 1, 3]
+    many = [(1, " ".join(base), "en"), *((k, copy(k, 6), "en") for k in range(2, 42))]
+    assert result(many) == list(range(1, 42)) and result(many, 80) == [1] * 41
+    assert [r["doc_id"] for r in near_dedup.one_of_each(edge.frame(spark, rows), 80).orderBy("doc_id").collect()] == [1, 3]
+    assert near_dedup.bands_for(85) == near_dedup.BANDS
