@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from llm.byte_bpe import op1_byte_bpe
-from llm import exact_search, near_dedup
+from llm import exact_search, fill_in_middle, near_dedup, resampling, sharding
 from llm.fingerprints import op2_fingerprints
 from llm.language import op8_language
 from llm.language_model import op9_language_model
@@ -23,8 +23,14 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_language_model": op9_language_model,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_sharding": sharding.op12_sharding,
+    "op13_resampling": resampling.op13_resampling,
 }
 SQL: dict[str, str] = {
     "op3_exact_search": exact_search.SQL,
     "op10_near_dedup": near_dedup.SQL,
+    "op11_fill_in_middle": fill_in_middle.SQL,
+    "op12_sharding": sharding.SQL,
+    "op13_resampling": resampling.SQL,
 }
