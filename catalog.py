@@ -7,14 +7,16 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import standins as X
 from highmark.operators import (
     clean, coverage, ladder, planning, publication, rankings, resolve, stats,
 )
 from highmark.operators import stations as st
-from highmark.plans import daily, documents
-from highmark.schemas import ALL_MAX, ALL_MIN, MONTH_MAX, MONTH_MIN
+from highmark.params import RunParams
+from highmark.plans import daily, documents, incremental
+from highmark.schemas import ALL_MAX, ALL_MIN, MONTH_MAX, MONTH_MIN, OBSERVATIONS
 from highmark.session import work_folder
 from highmark.sources import summaries, tables
 from highmark.streaming import intraday
@@ -272,6 +274,25 @@ def _cycle_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("station_id", "obs_date", "tmax", "tmin", "provisional")
 
 
+def _runs(job: Callable[[SparkSession, incremental.Cycle, RunParams], DataFrame]) -> Query:
+    """After three runs into one store: a load, corrections of settled days, and a run that only adds."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        base = work_folder(spark, "store")
+        for k, day in enumerate(X.RUN_DAYS):
+            p = X.replace(X.SUPPLIER, as_of=day)
+            log = resolve.conform(X.run_arrivals(spark, sf_dir, k), T.StructType([*OBSERVATIONS.fields, T.StructField("seq", T.LongType())]))
+            last = incremental.run_cycle(spark, base, log, p)
+        return job(spark, last, p)
+
+    return run
+
+
+def _run_counts(spark: SparkSession, last: incremental.Cycle, p: RunParams) -> DataFrame:
+    return incremental.run_counts(last.record_events, last.record_events_new, coverage.station_coverage(last.observations, p))
+
+
 def queries() -> dict[str, Query]:
     fetch = X.replace(X.SUPPLIER, chunk_days=4)
     result: dict[str, Query] = {
@@ -349,6 +370,12 @@ def queries() -> dict[str, Query]:
         "daily_cycle": _cycle("record_events"),
         "daily_cycle_new_events": _cycle("record_events_new"),
         "daily_cycle_pending": _cycle_pending,
+        "versioned_ladder": _runs(lambda spark, last, p: last.record_events),
+        "versioned_observations": _runs(
+            lambda spark, last, p: last.observations.select("station_id", "obs_date", "tmax", "tmin", "provisional")
+        ),
+        "versioned_new_events": _runs(lambda spark, last, p: last.record_events_new),
+        "versioned_run_counts": _runs(_run_counts),
     }
     for name, kind in (("max", ALL_MAX), ("min", ALL_MIN)):
         result[f"top_alltime_{name}"] = _over(

@@ -86,3 +86,30 @@ def delete_files(delta: DataFrame, base: str) -> None:
                 store.delete_file(target)
 
     delta.filter("action = 'delete'").select("path").foreachPartition(remove)
+
+
+def read_small(base: str, name: str) -> str | None:
+    """The text of a small file, ``None`` if there is none."""
+    import posixpath
+
+    from pyarrow import fs
+
+    store, root = _open(base)
+    target = posixpath.join(root, name)
+    if store.get_file_info(target).type == fs.FileType.NotFound:
+        return None
+    with store.open_input_stream(target) as text:
+        return text.read().decode("utf-8")
+
+
+def replace_small(base: str, name: str, text: str) -> None:
+    """A small file put in the place of its former self by a rename, so readers see one or the other."""
+    import posixpath
+    import uuid
+
+    store, root = _open(base)
+    store.create_dir(root, recursive=True)
+    hidden = posixpath.join(root, f".{uuid.uuid4().hex}")
+    with store.open_output_stream(hidden) as out:
+        out.write(text.encode("utf-8"))
+    store.move(hidden, posixpath.join(root, name))

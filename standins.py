@@ -305,3 +305,32 @@ def history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"event": F.lit("started"), "earliest": F.lit(None).cast("date"), "n_rows": F.lit(None).cast("bigint"), "seq": F.lit(1).cast("bigint")}
     )
     return part.unionByName(started)
+
+
+# Days that the versioned store is taken to, run by run. The last one is the day of all other queries.
+RUN_DAYS = (date(2001, 5, 9), date(2001, 8, 20), AS_OF)
+CORRECTED_YEAR = 1998
+
+
+def run_arrivals(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """Numbered arrivals of the supplier series in one of the runs of ``RUN_DAYS``.
+
+    The first brings all days so far: those of its last ten days as provisional and one unit lower, and
+    for every seventh supplier days of ``CORRECTED_YEAR`` that the second corrects. Each later one brings
+    the days since ten days before the last.
+    """
+    obs = observations(spark, sf_dir, "supplier")
+    until = F.lit(RUN_DAYS[run])
+    rows = obs.filter(F.col("obs_date") <= until)
+    late = F.col("obs_date") > F.date_sub(until, 10)
+    wrong = (F.col("station_id").cast("int") % 7 == 0) & (F.year("obs_date") == CORRECTED_YEAR) & (F.dayofmonth("obs_date") == 15)
+    if run == 0:
+        rows = rows.withColumn("tmax", F.when(wrong, F.col("tmax") + 50).otherwise(F.col("tmax")))
+    else:
+        since = F.col("obs_date") > F.date_sub(F.lit(RUN_DAYS[run - 1]), 10)
+        rows = rows.filter((since | wrong) if run == 1 else since)
+    if run < len(RUN_DAYS) - 1:
+        rows = rows.withColumns(
+            {c: F.when(late, F.col(c) - 1).otherwise(F.col(c)) for c in ("tmax", "tmin")} | {"provisional": F.col("provisional") | late}
+        )
+    return rows.withColumn("seq", F.lit(run).cast("bigint"))
