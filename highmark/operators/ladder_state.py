@@ -8,7 +8,10 @@ Days up to a settled day are folded once. What later days need of them is one ro
 
 A rung is *open* while a later day could still replace it: it is the last of its kind, beats nothing, and
 its segment goes on. All others are *closed* and never change, so their table only grows. The ladder at
-any time is the closed rungs, and what ``extend`` makes of the state and the days after the settled one.
+any time is the closed rungs, and what the state and the days after the settled one add.
+
+``whole`` (of series) and ``walk`` (of a state and later days) give rungs with all that the three results
+need: ``closed_rungs``, ``state_of`` and ``added_events``. Store them once and take these from there.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ EVENTS = (
     "station_id string, kind string, obs_date date, month int, value double, prev_value double, "
     "provisional boolean, days_since_prev int"
 )
-_TOP = [c for c in EVENT_COLUMNS if c not in ("station_id",)]
+RUNGS = f"{EVENTS}, last_day date, seg_start date, is_last boolean, open boolean, added boolean"
+_COLUMNS = [c.split()[0] for c in RUNGS.split(", ")]
 _RUNG = ["station_id", "kind", "month"]
 
 
@@ -38,22 +42,14 @@ def _open(seg_start: str) -> Column:
     return ~is_beaten() & (F.col("obs_date") >= F.col(seg_start))
 
 
-def _as_state(last: DataFrame, heads: DataFrame) -> DataFrame:
-    """One row per station out of its last rungs and its ``last_day, seg_start``."""
-    top = F.struct("kind", "month", "obs_date", "value", "prev_value", "provisional", "days_since_prev", "open")
-    tops = last.groupBy("station_id").agg(F.sort_array(F.collect_list(top)).alias("tops"))
-    return heads.join(tops, "station_id").select("station_id", "last_day", "seg_start", "tops")
-
-
-def settle(obs: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
-    """Closed rungs and state of whole series; for a first load, and for stations whose settled days changed."""
+def whole(obs: DataFrame, p: RunParams) -> DataFrame:
+    """``RUNGS`` of whole series; for a first load, and for stations whose settled days changed."""
     heads = coverage_segments(obs, p).groupBy("station_id").agg(
         F.max("obs_date").alias("last_day"), F.max("seg_start").alias("seg_start")
     )
-    rungs = record_events(obs, p).join(heads.select("station_id", "seg_start"), "station_id")
     is_last = F.lead("obs_date").over(Window.partitionBy(*_RUNG).orderBy("obs_date")).isNull()
-    rungs = rungs.withColumn("is_last", is_last).withColumn("open", F.col("is_last") & _open("seg_start"))
-    return rungs.filter(~F.col("open")).select(*EVENT_COLUMNS), _as_state(rungs.filter("is_last"), heads)
+    rungs = record_events(obs, p).join(heads, "station_id").withColumn("is_last", is_last)
+    return rungs.withColumns({"open": F.col("is_last") & _open("seg_start"), "added": F.lit(True)}).select(*_COLUMNS)
 
 
 def _new_rungs(state: DataFrame, days: DataFrame, p: RunParams) -> DataFrame:
@@ -105,11 +101,8 @@ def _new_rungs(state: DataFrame, days: DataFrame, p: RunParams) -> DataFrame:
     return days.select("station_id", "obs_date", "seg_id", "seg_start", "provisional", rungs.alias("rungs"))
 
 
-def _walk(state: DataFrame, days: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
-    """Last rungs of the state and new ones, with those that stay; and ``last_day, seg_start`` of every station.
-
-    ``kept`` has ``fresh`` (of ``days``), ``was_open``, ``is_last`` and ``open`` beside the event columns.
-    """
+def walk(state: DataFrame, days: DataFrame, p: RunParams) -> DataFrame:
+    """``RUNGS`` of the stations of ``state`` and of ``days``, which come after it."""
     found = _new_rungs(state, days, p)
     newest = found.groupBy("station_id").agg(F.max("obs_date").alias("new_day"), F.max("seg_start").alias("new_start"))
     heads = state.select("station_id", "last_day", "seg_start").join(newest, "station_id", "full_outer").select(
@@ -117,12 +110,12 @@ def _walk(state: DataFrame, days: DataFrame, p: RunParams) -> tuple[DataFrame, D
     )
     fresh = found.select("station_id", "obs_date", "seg_id", "provisional", F.inline("rungs")).select(
         *_RUNG, "obs_date", "value", "prev_value", "provisional", F.col("seg_id").cast("int").alias("seg_id"),
-        F.lit(None).cast("date").alias("before"), F.lit(True).alias("fresh"), F.lit(False).alias("was_open"),
+        F.lit(None).cast("date").alias("before"), F.lit(True).alias("added"),
     )
     # a rung that is not open cannot be replaced, as if its segment had ended
     carried = state.select("station_id", F.inline("tops")).select(
         *_RUNG, "obs_date", "value", "prev_value", "provisional", F.when(F.col("open"), 0).otherwise(-1).alias("seg_id"),
-        F.date_sub("obs_date", F.col("days_since_prev")).alias("before"), F.lit(False).alias("fresh"), F.col("open").alias("was_open"),
+        F.date_sub("obs_date", F.col("days_since_prev")).alias("before"), F.col("open").alias("added"),
     )
     ladder = Window.partitionBy(*_RUNG).orderBy("obs_date")
     starts_anew = (
@@ -137,18 +130,24 @@ def _walk(state: DataFrame, days: DataFrame, p: RunParams) -> tuple[DataFrame, D
         .withColumn("days_since_prev", F.datediff("obs_date", F.coalesce(F.lag("obs_date").over(ladder), F.col("before"))))
         .withColumn("is_last", F.col("next_seg").isNull())
     )
-    kept = kept.join(heads.select("station_id", F.col("seg_start").alias("now_start")), "station_id")
-    return kept.withColumn("open", F.col("is_last") & _open("now_start")), heads
+    return kept.join(heads, "station_id").withColumn("open", F.col("is_last") & _open("seg_start")).select(*_COLUMNS)
 
 
-def extend(state: DataFrame, days: DataFrame, p: RunParams) -> DataFrame:
-    """Events that the closed ones lack: those of ``days``, and open rungs that ``days`` leave in place."""
-    kept, _ = _walk(state, days, p)
-    return kept.filter(F.col("fresh") | F.col("was_open")).select(*EVENT_COLUMNS)
+def added_events(rungs: DataFrame) -> DataFrame:
+    """Events that the closed rungs of before lack: new ones, and open ones that stay."""
+    return rungs.filter("added").select(*EVENT_COLUMNS)
 
 
-def advance(state: DataFrame, days: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
-    """Newly closed rungs and the state after ``days``. A station with a state keeps it if it has no new day."""
-    kept, heads = _walk(state, days, p)
-    closed = kept.filter((F.col("fresh") | F.col("was_open")) & ~F.col("open")).select(*EVENT_COLUMNS)
-    return closed, _as_state(kept.filter("is_last"), heads)
+def closed_rungs(rungs: DataFrame) -> DataFrame:
+    """Events that have become final."""
+    return rungs.filter("added AND NOT open").select(*EVENT_COLUMNS)
+
+
+def state_of(rungs: DataFrame) -> DataFrame:
+    """One row per station. Every station with a temperature has a rung."""
+    top = F.struct("kind", "month", "obs_date", "value", "prev_value", "provisional", "days_since_prev", "open")
+    return rungs.groupBy("station_id").agg(
+        F.max("last_day").alias("last_day"),
+        F.max("seg_start").alias("seg_start"),
+        F.sort_array(F.collect_list(F.when(F.col("is_last"), top))).alias("tops"),
+    )

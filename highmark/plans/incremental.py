@@ -81,8 +81,8 @@ def _write_years(spark: SparkSession, base: str, version: str, held: list[Piece]
     path = f"observations/run={version}"
     write_observations(resolve.apply_arrivals(stored, log), f"{base}/{path}")
     oldest = F.min(F.when(is_provisional(), F.col("obs_date")))
-    written = spark.read.schema(_DATED).parquet(f"{base}/{path}").groupBy("year").agg(F.count("*").alias("n"), oldest.alias("oldest"))
-    fresh = [Piece("observations", r["year"], f"{path}/year={r['year']}", r["n"], r["oldest"]) for r in written.collect()]
+    written = spark.read.schema(_DATED).parquet(f"{base}/{path}").groupBy("year").agg(oldest.alias("oldest"))
+    fresh = [Piece("observations", r["year"], f"{path}/year={r['year']}", r["oldest"]) for r in written.collect()]
     return [q for y, q in ours.items() if y not in touched] + fresh
 
 
@@ -123,7 +123,7 @@ def run_cycle(
     changed, rewritten, old_closed = empty, set(), [q for q in held if q.table == "closed"]
     if was_settled is None:
         settled_obs = observations_of(spark, base, years).filter(F.col("obs_date") <= F.lit(settled))
-        added, state = ladder_state.settle(settled_obs, p)
+        rungs = ladder_state.whole(settled_obs, p)
     else:
         old_state = versions.read_pieces(spark, base, "state", held, ladder_state.STATE)
         recent = observations_of(spark, base, years, was_settled.year)
@@ -140,25 +140,26 @@ def run_cycle(
         rewritten = hit | {b for b, n in counts.items() if n >= versions.MOST_PIECES}
         if hit:
             old_state, days = (d.join(changed, "station_id", "left_anti") for d in (old_state, days))
-        added, state = ladder_state.advance(old_state, days, p)
+        rungs = ladder_state.walk(old_state, days, p)
         if hit:
             series = observations_of(spark, base, years).filter(F.col("obs_date") <= F.lit(settled))
-            redone, redone_state = ladder_state.settle(series.join(changed, "station_id", "left_semi"), p)
-            added, state = added.unionByName(redone), state.unionByName(redone_state)
-        if rewritten:
-            kept = versions.read_pieces(spark, base, "closed", held, _BUCKETED, rewritten).drop("bucket")
-            added = added.unionByName(kept.join(changed, "station_id", "left_anti"))
-    state = _stored(spark, state, f"{base}/state/run={version}", ladder_state.STATE)
-    path = f"closed/run={version}"
+            rungs = rungs.unionByName(ladder_state.whole(series.join(changed, "station_id", "left_semi"), p))
+    rungs = _stored(spark, rungs, f"{base}/rungs/run={version}", ladder_state.RUNGS)
+    state = _stored(spark, ladder_state.state_of(rungs), f"{base}/state/run={version}", ladder_state.STATE)
+    added, path = ladder_state.closed_rungs(rungs), f"closed/run={version}"
+    if rewritten:
+        kept = versions.read_pieces(spark, base, "closed", held, _BUCKETED, rewritten).drop("bucket")
+        added = added.unionByName(kept.join(changed, "station_id", "left_anti") if hit else kept)
     added = added.withColumn("bucket", _bucket(buckets)).repartition("bucket").sortWithinPartitions("bucket", "station_id", "obs_date")
     added.write.mode("errorifexists").option("compression", "zstd").partitionBy("bucket").parquet(f"{base}/{path}")
     closed_now = spark.read.schema(_BUCKETED).parquet(f"{base}/{path}")
     closed = [q for q in old_closed if q.part not in rewritten]
-    closed += [Piece("closed", r["bucket"], f"{path}/bucket={r['bucket']}", r["count"]) for r in closed_now.groupBy("bucket").count().collect()]
+    closed += [Piece("closed", r["bucket"], f"{path}/bucket={r['bucket']}") for r in closed_now.select("bucket").distinct().collect()]
     after = observations_of(spark, base, years, settled.year).filter(F.col("obs_date") > F.lit(settled))
-    tail = _stored(spark, ladder_state.extend(state, after, p), f"{base}/tail/run={version}", ladder_state.EVENTS)
+    tail = ladder_state.added_events(ladder_state.walk(state, after, p))
+    tail = _stored(spark, tail, f"{base}/tail/run={version}", ladder_state.EVENTS)
 
-    new_held = [*years, *closed, Piece("state", 0, f"state/run={version}", state.count(), settled=settled), Piece("tail", 0, f"tail/run={version}", tail.count())]
+    new_held = [*years, *closed, Piece("state", 0, f"state/run={version}", settled=settled), Piece("tail", 0, f"tail/run={version}")]
     before_publish()
     versions.publish(spark, base, version, new_held, last)
     now = closed_now.drop("bucket").unionByName(tail)

@@ -25,7 +25,7 @@ from highmark.sources.files import read_small, replace_small
 POINTER = "current"
 #: Pieces that a part may grow to before it is written as one again.
 MOST_PIECES = 16
-MANIFEST = "table string, part int, path string, n_rows long, oldest_provisional date, settled date"
+MANIFEST = "table string, part int, path string, oldest_provisional date, settled date"
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,6 @@ class Piece:
     table: str
     part: int
     path: str
-    n_rows: int
     oldest_provisional: date | None = None
     settled: date | None = None
 
@@ -66,7 +65,7 @@ def pieces(spark: SparkSession, base: str, version: str | None) -> list[Piece]:
 
 def publish(spark: SparkSession, base: str, version: str, held: Iterable[Piece], after: str | None) -> None:
     """Make ``version`` the current one, unless ``after`` is no longer what it follows."""
-    rows = [(p.table, p.part, p.path, p.n_rows, p.oldest_provisional, p.settled) for p in held]
+    rows = [(p.table, p.part, p.path, p.oldest_provisional, p.settled) for p in held]
     listed = spark.createDataFrame(rows, MANIFEST).coalesce(1)
     listed.write.mode("errorifexists").parquet(f"{base}/manifests/run={version}")
     if current(base) != after:

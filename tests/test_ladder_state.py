@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import naive
 import test_ladder
-from highmark.operators import ladder, ladder_state
+from highmark.operators import ladder_state
 from highmark.params import RunParams
 from highmark.schemas import EVENT_COLUMNS
 
@@ -28,17 +28,16 @@ def check_steps(spark, tmp_path, rows, cuts, p):
     """Settle up to the first cut, advance to each further one, extend by the rest; the ladder holds after every step."""
     obs = spark.createDataFrame(rows, test_ladder.SCHEMA)
     before = obs.filter(F.col("obs_date") <= cuts[0])
-    closed, state = ladder_state.settle(before, p)
-    closed, state = kept(closed, f"{tmp_path}/c"), kept(state, f"{tmp_path}/s")
-    assert {f.name for f in state.schema} == {"station_id", "last_day", "seg_start", "tops"}
+    rungs = kept(ladder_state.whole(before, p), f"{tmp_path}/r")
+    closed, state = ladder_state.closed_rungs(rungs), ladder_state.state_of(rungs)
+    assert state.columns == ["station_id", "last_day", "seg_start", "tops"]
     for k, (low, high) in enumerate(zip(cuts, [*cuts[1:], date.max])):
         step = obs.filter((F.col("obs_date") > low) & (F.col("obs_date") <= high))
-        full = rows_of(closed.unionByName(ladder_state.extend(state, step, p)))
+        rungs = kept(ladder_state.walk(state, step, p), f"{tmp_path}/r{k}")
+        full = rows_of(closed.unionByName(ladder_state.added_events(rungs)))
         assert full == naive.ladder([r for r in rows if r[1] <= high], p.warmup_days, p.gap_reset_days)
-        added, state = ladder_state.advance(state, step, p)
-        closed = closed.unionByName(kept(added, f"{tmp_path}/c{k}"))
-        state = kept(state, f"{tmp_path}/s{k}")
-    _, fresh = ladder_state.settle(obs, p)
+        closed, state = closed.unionByName(ladder_state.closed_rungs(rungs)), ladder_state.state_of(rungs)
+    fresh = ladder_state.state_of(ladder_state.whole(obs, p))
     assert sorted(map(repr, state.collect())) == sorted(map(repr, fresh.collect()))
     assert max(len(r["tops"]) for r in state.collect()) <= 26
 
@@ -62,11 +61,11 @@ def test_station_before_and_after_the_state(spark):
     rows = [("a", date(2010, 1, 1), 1.0, 2.0, False)]
     obs = spark.createDataFrame(rows, test_ladder.SCHEMA)
     none = spark.createDataFrame([], ladder_state.STATE)
-    assert rows_of(ladder_state.extend(none, obs, P)) == naive.ladder(rows)
-    closed, state = ladder_state.settle(obs, P)
-    assert closed.count() == 0  # the only rungs are open
+    assert rows_of(ladder_state.added_events(ladder_state.walk(none, obs, P))) == naive.ladder(rows)
+    rungs = ladder_state.whole(obs, P)
+    assert ladder_state.closed_rungs(rungs).count() == 0  # all are open still
     blank = spark.createDataFrame([("a", date(2010, 1, 2), None, None, False)], test_ladder.SCHEMA)
-    assert rows_of(ladder_state.extend(state, blank, P)) == naive.ladder(rows)
-    added, after = ladder_state.advance(state, blank, P)
-    assert added.count() == 0 and sorted(map(repr, after.collect())) == sorted(map(repr, state.collect()))
-    assert ladder.record_events(obs, P).count() == 4
+    later = ladder_state.walk(ladder_state.state_of(rungs), blank, P)
+    assert rows_of(ladder_state.added_events(later)) == naive.ladder(rows)
+    assert ladder_state.closed_rungs(later).count() == 0
+    assert list(map(repr, ladder_state.state_of(later).collect())) == list(map(repr, ladder_state.state_of(rungs).collect()))
