@@ -16,7 +16,7 @@ from highmark.operators import (
 from highmark.operators import stations as st
 from highmark.params import RunParams
 from highmark.plans import daily, documents, incremental
-from highmark.schemas import ALL_MAX, ALL_MIN, MONTH_MAX, MONTH_MIN, OBSERVATIONS
+from highmark.schemas import ALL_MAX, ALL_MIN, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_HOURLY
 from highmark.session import work_folder
 from highmark.sources import summaries, tables
 from highmark.streaming import intraday
@@ -152,6 +152,19 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select("station_id", "obs_date", "tmax", "tmin")
 
 
+def _live_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly job over six files, one a trigger: days before and after the live ones go around the state."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    folder = work_folder(spark, "live")
+    X.as_hourly(X.table(spark, sf_dir, "events").repartitionByRange(6, "ts")).write.parquet(f"{folder}/landing")
+    stream = spark.readStream.schema(RAW_HOURLY).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+    p = X.replace(X.PART, as_of=X.LIVE_DAY)
+    for query in intraday.ingest_live(stream, f"{folder}/log", f"{folder}/checkpoint", p):
+        query.awaitTermination()
+    resolved = resolve.resolve_observations(intraday.read_log(spark, f"{folder}/log"))
+    return resolved.select("station_id", "obs_date", "tmax", "tmin")
+
+
 def _merge(job: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -303,6 +316,7 @@ def queries() -> dict[str, Query]:
             X.raw_hourly, lambda raw: clean.hourly_daily_extremes(raw, X.PART.local_tz)
         ),
         "stream_daily_extremes": _stream,
+        "live_daily_extremes": _live_stream,
         "parse_daily_summary": _from(X.summary_files, summaries.parse_daily_summary),
         "extract_station_map": _station_map,
         "match_summary_stations": _match(0),

@@ -13,6 +13,8 @@ from highmark.schemas import MEASURE_COLUMNS, RAW_DAILY, STATIONS
 
 # The day after the last ship date, so no row lies in the future.
 AS_OF = date(2001, 11, 5)
+# A day within the event table, so that some of its days are live, some late and some early.
+LIVE_DAY = date(2024, 1, 27)
 FIRST_UNCONFIRMED = date(2001, 10, 22)
 
 # The stand-in series are thinner than daily ones; thresholds that would make every

@@ -1,4 +1,5 @@
 import json
+from datetime import date, timedelta
 
 import pytest
 
@@ -88,3 +89,36 @@ def test_definitive_batches_supersede(spark, folders, tmp_path):
     intraday.ingest_daily(readers.stream_daily(spark, str(daily)), log, str(tmp_path / "checkpoint-daily")).awaitTermination()
     rows = resolve_observations(intraday.read_log(spark, log)).collect()
     assert [(r.tmax, r.tmin, r.provisional) for r in rows] == [(6.5, None, False)]
+
+
+def live(spark, landing, log, checkpoint, day):
+    """Run both queries to the end; progress of the one with state."""
+    stream = readers.stream_hourly(spark, str(landing), max_files=1)
+    p = standins.replace(standins.PART, as_of=day)
+    queries = intraday.ingest_live(stream, log, checkpoint, p)
+    for query in queries:
+        query.awaitTermination()
+    return queries[0].recentProgress
+
+
+def test_live_state_equals_batch_and_stays_bounded(spark, folders):
+    """Triggers over two months: late, early and repeated readings; state holds live days only."""
+    landing, log, checkpoint = folders
+    most = 0
+    for k, day in enumerate((date(2024, 1, 10), date(2024, 1, 11), date(2024, 2, 9), date(2024, 3, 5))):
+        at = lambda hour, d=day: f"{d.isoformat()}T{hour:02d}:00:00+0000"
+        drop(landing, f"{k}a.json", reading("a", at(10), 5.0 + k), reading("a", at(11), 4.0, 20.0 - k, None), reading("c", "2099-01-01T12:00:00+0000", 4.0))
+        drop(landing, f"{k}b.json", reading("a", at(12), 3.0), reading("b", at(12, day - timedelta(12)), 1.0 + k), reading("b", at(12, day - timedelta(40)), 2.0))
+        progress = live(spark, landing, log, checkpoint, day)
+        state = [s for r in progress for s in r.stateOperators]
+        assert all(s.numRowsDroppedByWatermark == 0 for s in state)
+        assert state[-1].numRowsTotal <= 5
+        most = max(most, *(s.numRowsTotal for s in state))
+    assert most > 2
+    rows = resolve_observations(intraday.read_log(spark, log)).collect()
+    batch = hourly_daily_extremes(readers.read_hourly(spark, str(landing)), "Europe/Madrid").collect()
+    key = lambda r: (r.station_id, r.obs_date, r.tmax, r.tmin)
+    assert sorted(map(key, rows)) == sorted(map(key, batch)) and len(batch) == 4 + 1 + 8
+    seen = {(r.station_id, r.obs_date) for r in intraday.live_view(spark, log).collect()}
+    assert ("a", date(2024, 3, 5)) in seen and ("c", date(2099, 1, 1)) not in seen and ("b", date(2024, 1, 25)) not in seen
+    assert sum(s.numRowsRemoved for s in state) > 0
