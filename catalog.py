@@ -15,10 +15,10 @@ from highmark.operators import (
 )
 from highmark.operators import stations as st
 from highmark.params import RunParams
-from highmark.plans import daily, documents, incremental
-from highmark.schemas import ALL_MAX, ALL_MIN, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_HOURLY
+from highmark.plans import daily, documents, incremental, landed
+from highmark.schemas import ALL_MAX, ALL_MIN, CHUNK_LEDGER, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_HOURLY
 from highmark.session import work_folder
-from highmark.sources import summaries, tables
+from highmark.sources import files, summaries, tables
 from highmark.streaming import intraday
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,6 +232,43 @@ def _history(**switches: bool) -> Query:
     return run
 
 
+def _history_load(what: str) -> Query:
+    """Landed half-years of the suppliers whose history is pending."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        base = work_folder(spark, "history")
+        files.write_files(X.history_pages(spark, sf_dir), base)
+        stored = X.observations(spark, sf_dir, "supplier").filter(F.col("obs_date") >= F.lit(X.HISTORY_CUT))
+        load = landed.load_history(spark, base, stored, X.supplier_history_log(spark, sf_dir), X.HISTORY, 5)
+        if what == "rows":
+            return load.rows.select("station_id", "obs_date", "tmax", "tmin", "provisional", "seq")
+        return getattr(load, what)
+
+    return run
+
+
+def _chunks(what: str) -> Query:
+    """Landed chunks of the incremental window, and the plan after them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        base = work_folder(spark, "chunks")
+        stored = X.observations(spark, sf_dir, "supplier").filter(F.col("obs_date") <= F.lit(X.STORED_UNTIL)).withColumn("provisional", F.lit(False))
+        none = spark.createDataFrame([], CHUNK_LEDGER)
+        due = planning.chunks_due(stored, planning.chunk_ledger(none), X.CHUNKS)
+        files.write_files(X.chunk_pages(spark, sf_dir, due), base)
+        load = landed.load_chunks(spark, base, due, 1)
+        if what == "rows":
+            return load.rows.select("station_id", "obs_date", "tmax", "tmin", "provisional", "seq")
+        if what == "ledger":
+            return load.ledger
+        now = resolve.as_observations(stored).unionByName(load.rows.drop("seq"))
+        return planning.chunks_due(now, planning.chunk_ledger(load.ledger), X.CHUNKS)
+
+    return run
+
+
 def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = planning.month_ledger(X.month_log(spark, sf_dir))
     return planning.months_to_load(X.months(spark, sf_dir), ledger, X.PART)
@@ -381,6 +418,12 @@ def queries() -> dict[str, Query]:
         "ingest_plan_days": _over("supplier", lambda r: planning.days_without_definitive(r.obs, X.replace(r.p, summary_back_days=20))),
         "history_plan": _history(),
         "history_plan_all": _history(include_all=True, include_complete=True),
+        "history_load_rows": _history_load("rows"),
+        "history_load_ledger": _history_load("ledger"),
+        "history_load_pages": _history_load("pages"),
+        "chunk_load_rows": _chunks("rows"),
+        "chunk_load_ledger": _chunks("ledger"),
+        "chunk_load_next_plan": _chunks("plan"),
         "daily_cycle": _cycle("record_events"),
         "daily_cycle_new_events": _cycle("record_events_new"),
         "daily_cycle_pending": _cycle_pending,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,13 +11,13 @@ from highmark.functions import cleansing as C
 from highmark.schemas import CLEAN_DAILY_COLUMNS, DAILY_NUMBER_FIELDS, DAILY_TEXT_FIELDS
 
 
-def clean_daily(raw: DataFrame) -> DataFrame:
-    """Typed daily rows; rows without a station or a readable date are dropped."""
+def clean_daily(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed daily rows; rows without a station or a readable date are dropped. ``keep`` names columns to go along."""
     columns = {
         name: C.blank_to_null(F.col(key)) for name, key in DAILY_TEXT_FIELDS.items()
     } | {name: C.decimal_text(F.col(key)) for name, key in DAILY_NUMBER_FIELDS.items()}
     columns["obs_date"] = C.iso_date(columns["obs_date"])
-    return raw.select(*[columns[c].alias(c) for c in CLEAN_DAILY_COLUMNS]).filter(
+    return raw.select(*[columns[c].alias(c) for c in CLEAN_DAILY_COLUMNS], *keep).filter(
         F.col("station_id").isNotNull() & F.col("obs_date").isNotNull()
     )
 

@@ -86,6 +86,15 @@ MONTH_LEDGER = T.StructType(
         T.StructField("seq", T.LongType()),
     ]
 )
+CHUNK_LEDGER = T.StructType(
+    [
+        T.StructField("chunk_start", T.DateType()),
+        T.StructField("chunk_end", T.DateType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
 HISTORY_LEDGER = T.StructType(
     [
         T.StructField("station_id", T.StringType()),

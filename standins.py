@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from highmark.params import RunParams
@@ -126,12 +126,16 @@ def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records that confirm the provisional days of the supplier series one unit lower."""
+    return as_raw(observations(spark, sf_dir, "supplier").filter("provisional"), -1)
+
+
+def as_raw(days: DataFrame, shift: int = 0) -> DataFrame:
+    """Days as raw text records, values moved by ``shift``."""
     def text(value: str) -> Column:
-        return F.regexp_replace((F.col(value) - 1).cast("string"), r"\.", ",")
+        return F.regexp_replace((F.col(value) + shift).cast("string"), r"\.", ",")
 
-    late = observations(spark, sf_dir, "supplier").filter("provisional")
     absent = [c for c in RAW_DAILY.names if c not in ("indicativo", "fecha", "tmax", "tmin")]
-    return late.select(
+    return days.select(
         F.col("station_id").alias("indicativo"),
         F.col("obs_date").cast("string").alias("fecha"),
         text("tmax").alias("tmax"),
@@ -336,3 +340,59 @@ def run_arrivals(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
             {c: F.when(late, F.col(c) - 1).otherwise(F.col(c)) for c in ("tmax", "tmin")} | {"provisional": F.col("provisional") | late}
         )
     return rows.withColumn("seq", F.lit(run).cast("bigint"))
+
+
+def as_pages(raw: DataFrame, *keys: str) -> DataFrame:
+    """One row per page (``keys``) with the JSON array of its raw records."""
+    record = F.to_json(F.struct(*[c for c in raw.columns if c not in keys]))
+    return raw.groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(record)), ","), F.lit("]")).alias("text"))
+
+
+UNREADABLE = '[{"indicativo": "1", "fec'
+# Days up to which the incremental stand-in is stored, and the plan for the days after them.
+STORED_UNTIL = date(2001, 8, 31)
+CHUNKS = replace(SUPPLIER, chunk_days=10)
+
+
+def chunk_pages(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
+    """``path, text`` of the pages of ``chunks``: the third is unreadable, the fifth empty, the sixth missing."""
+    days = observations(spark, sf_dir, "supplier").withColumn("provisional", F.lit(False))
+    number = F.row_number().over(Window.orderBy("chunk_start"))
+    at = F.expr("obs_date BETWEEN chunk_start AND chunk_end")
+    # the chunks are a few rows
+    cut = days.join(F.broadcast(chunks), at)
+    raw = as_raw(cut).withColumn("obs_date", F.col("fecha").cast("date")).join(F.broadcast(chunks), at).drop("obs_date", "chunk_end")
+    pages = chunks.select("chunk_start", number.alias("number")).join(as_pages(raw, "chunk_start"), "chunk_start", "left")
+    text = F.when(F.col("number") == 3, UNREADABLE).when(F.col("number") == 5, "[]").otherwise(F.coalesce("text", F.lit("[]")))
+    return pages.filter("number <> 6").select(F.concat(F.col("chunk_start").cast("string"), F.lit(".json")).alias("path"), text.alias("text"))
+
+
+def history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of every supplier's half-years: some empty, some unreadable; those of every tenth not landed before 1996-07."""
+    key, start = F.col("s_suppkey"), F.col("win_start")
+    half = F.year("win_start") * 2 + F.when(F.month("win_start") > 6, 1).otherwise(0)
+    windows = table(spark, sf_dir, "supplier").select(
+        key, F.explode(F.expr("sequence(DATE '1994-01-01', DATE '2001-07-01', INTERVAL 6 MONTH)")).alias("win_start")
+    ).filter(~((key % 10 == 9) & (start < F.lit(date(1996, 7, 1)))))
+    day = F.col("fecha").cast("date")
+    archive = as_raw(observations(spark, sf_dir, "supplier").filter(F.col("obs_date") < F.lit(HISTORY_CUT)))
+    first_month = F.when(F.month(day) <= 6, 1).otherwise(7)
+    archive = archive.withColumns({"s_suppkey": F.col("indicativo").cast("long"), "win_start": F.make_date(F.year(day), first_month, F.lit(1))})
+    pages = windows.join(as_pages(archive, "s_suppkey", "win_start"), ["s_suppkey", "win_start"], "left")
+    text = (
+        F.when((key + half) % 11 == 3, UNREADABLE)
+        .when((key * 7 + half) % 5 <= 1, "[]")
+        .otherwise(F.coalesce("text", F.lit("[]")))
+    )
+    path = F.concat(F.lit("station="), key.cast("string"), F.lit("/"), start.cast("string"), F.lit(".json"))
+    return pages.select(path.alias("path"), text.alias("text"))
+
+
+def supplier_history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of four suppliers one is finished, one started."""
+    rest = F.col("s_suppkey") % 4
+    return table(spark, sf_dir, "supplier").filter(rest <= 1).select(
+        F.col("s_suppkey").cast("string").alias("station_id"),
+        F.when(rest == 0, "finished").otherwise("started").alias("event"),
+        F.lit(None).cast("date").alias("earliest"), F.lit(None).cast("bigint").alias("n_rows"), F.lit(1).cast("bigint").alias("seq"),
+    )
