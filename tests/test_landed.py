@@ -40,7 +40,7 @@ def test_history_is_resumed_and_ends(spark, tmp_path):
         ("a", "1999-07-01", "loaded", 1, False),
         ("b", "1998-07-01", "empty", 0, True), ("b", "1999-01-01", "failed", 0, False), ("b", "1999-07-01", "empty", 0, False),
     ]
-    log = log.unionByName(first.ledger)
+    log = spark.createDataFrame(log.unionByName(first.ledger).collect(), HISTORY_LEDGER)
     state = {r.station_id: (r.complete, r.earliest, r.n_rows) for r in planning.history_ledger(log).collect()}
     assert state == {"a": (False, None, None), "b": (True, None, 0), "c": (False, None, None), "d": (True, None, 0)}
 
@@ -48,7 +48,8 @@ def test_history_is_resumed_and_ends(spark, tmp_path):
     land(pages("a"), "1998-01-01", [record("a", "1998-01-01")])
     land(pages("a"), "1997-07-01", [])
     land(pages("a"), "1997-01-01", [record("a", "1997-01-01")], cut=3)
-    now = obs.unionByName(first.rows.select(obs.columns))
+    # stored in between, as by any run: one plan must not hold both listings of the pages
+    now = spark.createDataFrame(obs.unionByName(first.rows.select(obs.columns)).collect(), OBS)
     second = load_history(spark, str(tmp_path), now, log, P, 3)
     assert sorted((r.station_id, r.obs_date.isoformat()) for r in second.rows.collect()) == [("a", "1998-01-01"), ("a", "1998-08-01"), ("a", "1999-08-01")]
     state = {r.station_id: (r.complete, r.earliest, r.n_rows) for r in planning.history_ledger(log.unionByName(second.ledger)).collect()}
@@ -71,7 +72,8 @@ def test_only_failed_chunks_come_back(spark, tmp_path):
     told = {r.chunk_start.day: (r.outcome, r.n_rows, r.seq) for r in first.ledger.collect()}
     assert told == {2: ("loaded", 2, 1), 7: ("failed", 0, 1), 12: ("failed", 0, 1), 17: ("empty", 0, 1), 22: ("loaded", 1, 1), 27: ("failed", 0, 1)}
     log = log.unionByName(first.ledger)
-    now = obs.unionByName(first.rows.select(obs.columns))
+    now = spark.createDataFrame(obs.unionByName(first.rows.select(obs.columns)).collect(), OBS)
+    log = spark.createDataFrame(log.collect(), CHUNK_LEDGER)
     again = planning.chunks_due(now, planning.chunk_ledger(log), P)
     # the two failed chunks follow each other; after the last definitive day the plan is as ever
     assert sorted((r.chunk_start.day, r.chunk_end.day) for r in again.collect()) == [(7, 11), (12, 16), (23, 27)]
