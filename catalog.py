@@ -120,6 +120,15 @@ def _station_documents(r: Run) -> DataFrame:
     return documents.station_json(st.station_documents(*r.read_model, gaps, r.p))
 
 
+def _parsed(files: DataFrame) -> DataFrame:
+    def store(rows: DataFrame) -> DataFrame:
+        path = work_folder(rows.sparkSession, "summary")
+        rows.write.parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    return summaries.parse_daily_summary(files, store)
+
+
 def _station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.extract_station_map(X.station_pages(spark, sf_dir), min_rows=0)
 
@@ -354,7 +363,8 @@ def queries() -> dict[str, Query]:
         ),
         "stream_daily_extremes": _stream,
         "live_daily_extremes": _live_stream,
-        "parse_daily_summary": _from(X.summary_files, summaries.parse_daily_summary),
+        "parse_daily_summary": _from(X.summary_files, _parsed),
+        "parse_daily_summary_lazy": _from(X.summary_files, summaries.parse_daily_summary),
         "extract_station_map": _station_map,
         "match_summary_stations": _match(0),
         "unmatched_summary_stations": _match(1),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,15 @@ class CycleInputs:
     fresh_map: DataFrame | None = None
 
 
-def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
+def _provisional(
+    inputs: CycleInputs, p: RunParams, store: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame | None:
     """Hourly and summary extremes as one arrival."""
     parts = []
     if inputs.raw_hourly is not None:
         parts.append(hourly_daily_extremes(inputs.raw_hourly, p.local_tz))
     if inputs.summary_files is not None and inputs.station_map is not None:
-        summary = parse_daily_summary(inputs.summary_files)
+        summary = parse_daily_summary(inputs.summary_files, store)
         if inputs.fresh_map is None:
             matched, _ = match_summary_stations(summary, inputs.station_map, p)
         else:
@@ -60,16 +63,20 @@ def _provisional(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
     return resolve.as_observations(merged, provisional=True)
 
 
-def arrivals(inputs: CycleInputs, p: RunParams) -> DataFrame | None:
+def arrivals(
+    inputs: CycleInputs, p: RunParams, store: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame | None:
     """New definitive and provisional rows after those still pending, as one numbered log.
 
+    ``store`` keeps the rows of the summaries, see ``parse_daily_summary``.
+
     Stale provisional rows of earlier runs are purged; a definitive row always wins over a
     provisional one, so only the order of definitive arrivals matters.
     """
     parts = []
     if inputs.pending is not None:
         parts.append(resolve.purge_provisional(inputs.pending, p))
-    fresh = [_provisional(inputs, p)]
+    fresh = [_provisional(inputs, p, store)]
     if inputs.raw_daily is not None:
         fresh.append(resolve.as_observations(clean_daily(inputs.raw_daily), provisional=False))
     next_seq = F.lit(0)
@@ -132,7 +139,7 @@ def daily_cycle(
     ``rewrite`` stores the whole observation table anew. Without it only the arrivals are
     stored: hand them to the next run as ``pending``, and rewrite now and then.
     """
-    log = arrivals(inputs, p)
+    log = arrivals(inputs, p, lambda rows: _stored(spark, rows, f"{out_dir}/summary_rows"))
     if log is not None:
         log = _stored(spark, log, f"{out_dir}/arrivals")
     obs = current_observations(inputs, log, p)

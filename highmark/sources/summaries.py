@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from highmark.functions import cleansing as C
 from highmark.params import RunParams
 
 _LINE_END = r"\r\n|[\n\r\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]"
+_IN_LINE = r"[^\n\r\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]"
 _RECORD_END = r"\r\n|\r"
 # A field is quoted (quotes doubled inside, commas and line ends allowed) or plain.
 _QUOTED = r'"(?:[^"]|"")*+"[^,\n]*'
@@ -77,9 +80,14 @@ def _records(text: Column) -> Column:
     return F.regexp_extract_all(lines, F.lit(_RECORD), F.lit(1))
 
 
-def _declared_date_text(text: Column) -> Column:
+def _preamble(text: Column) -> Column:
+    """The first lines; the rest of the text is not looked at."""
+    region = rf"^(?:{_IN_LINE}*+(?:{_LINE_END})){{0,{PREAMBLE_LINES - 1}}}{_IN_LINE}*+"
+    return F.split(F.regexp_extract(text, region, 0), _LINE_END)
+
+
+def _declared_date_text(head: Column) -> Column:
     """ISO text of the date in the preamble: the date line rules, else the first update line."""
-    head = F.slice(F.split(text, _LINE_END, PREAMBLE_LINES + 1), 1, PREAMBLE_LINES)
     dated = F.filter(head, lambda line: line.startswith(DATE_LINE))
     updated = F.transform(
         F.filter(head, lambda line: line.startswith(UPDATED_LINE)), C.long_date_iso
@@ -93,24 +101,29 @@ def _last_index(header: Column, test) -> Column:
     return F.array_max(F.transform(header, lambda cell, i: F.when(test(cell), i)))
 
 
-def parse_daily_summary(files: DataFrame) -> DataFrame:
+def parse_daily_summary(files: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows of summary files: ``obs_date, name, province, tmax, tmin``.
 
     ``files`` has ``path`` (one row per path), ``text``, and optionally ``requested_date``
     for files that declare no date. A file with an impossible date or without the four
     columns gives nothing. If several files declare one day, the last requested one stands;
     it is found by an aggregation over dates and paths, so no text is ever shuffled.
+
+    With ``store`` (writes a table and reads it back) texts are taken apart once: the rows of all files
+    are stored with date and path, and what stands is chosen from these two columns of the stored rows.
+    Without it everything is lazy, and the choice takes texts apart a second time.
     """
     requested = (
         F.col("requested_date") if "requested_date" in files.columns else F.lit(None).cast("date")
     )
     parsed = _once(
         files,
-        _declared_date_text(F.col("text")).alias("declared"),
+        _preamble(F.col("text")).alias("head"),
         requested.alias("requested_date"),
         F.col("path"),
         _records(F.col("text")).alias("records"),
     )
+    parsed = parsed.select(_declared_date_text(F.col("head")).alias("declared"), "requested_date", "path", "records")
     header_at = F.array_position(F.transform("records", _is_header), F.lit(True)).cast("int")
     header = _cells(F.try_element_at("records", F.nullif("header_at", F.lit(0))))
     located = _once(parsed, *map(F.col, parsed.columns), header_at.alias("header_at")).select(
@@ -129,29 +142,31 @@ def parse_daily_summary(files: DataFrame) -> DataFrame:
     def is_row(record: Column) -> Column:
         return F.size(_fields(record)) > last_place
 
-    newest = (
-        located.filter(F.exists("records", is_row) & F.col("obs_date").isNotNull())
-        .groupBy("obs_date")
-        .agg(F.max(F.struct("requested_date", "path")).alias("last"))
-        .select("obs_date", "last.path")
-    )
+    def newest(found: DataFrame) -> DataFrame:
+        last = F.max(F.struct("requested_date", "path")).alias("last")
+        return found.groupBy("obs_date").agg(last).select("obs_date", "last.path")
 
     def cell(column: str) -> Column:
         return _unquoted(F.get("fields", F.col(f"{column}_at")))
 
-    return (
-        located.join(newest, ["obs_date", "path"], "left_semi")
-        .select("obs_date", *places, F.explode("records").alias("record"))
-        .select("obs_date", *places, _fields(F.col("record")).alias("fields"))
-        .filter(F.size("fields") > last_place)
-        .select(
-            "obs_date",
+    def rows(files: DataFrame, *keys: str) -> DataFrame:
+        split = _once(
+            files.select(*keys, *places, F.explode("records").alias("record")),
+            *[F.col(k) for k in keys], *[F.col(f"{c}_at") for c in HEADER_TESTS], _fields(F.col("record")).alias("fields"),
+        )
+        return split.filter(F.size("fields") > last_place).select(
+            *keys,
             C.stripped(cell("name")).alias("name"),
             C.stripped(cell("province")).alias("province"),
             C.temperature_cell(cell("tmax")).alias("tmax"),
             C.temperature_cell(cell("tmin")).alias("tmin"),
         )
-    )
+
+    if store is not None:
+        stored = store(rows(located.filter(F.col("obs_date").isNotNull()), "obs_date", "requested_date", "path"))
+        return stored.join(newest(stored), ["obs_date", "path"], "left_semi").drop("requested_date", "path")
+    standing = newest(located.filter(F.exists("records", is_row) & F.col("obs_date").isNotNull()))
+    return rows(located.join(standing, ["obs_date", "path"], "left_semi"), "obs_date")
 
 
 def _once(df: DataFrame, *columns: Column) -> DataFrame:

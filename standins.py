@@ -253,6 +253,8 @@ def summary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.groupBy("obs_date")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
         .select(F.date_format("obs_date", "yyyyMMdd").alias("path"), body.alias("text"))
+        # as files would lie: adaptive execution must not gather the small texts into one task
+        .repartition(spark.sparkContext.defaultParallelism)
     )
 
 
