@@ -25,21 +25,32 @@ def station_summary(
 
     Provisional events count here.
     """
+    per_station = events.filter(is_beaten()).groupBy("station_id").agg(*_totals(p))
+    joined = _active(coverage, stations).join(per_station, "station_id", "left")
+    return joined.select(*_summary_columns())
+
+
+def _totals(p: RunParams) -> list[Column]:
+    """Per kind, of beaten events: how many, how many recent ones, and the last one."""
     recent = F.col("obs_date") >= F.date_sub(F.lit(p.as_of), p.recent_days)
     aggs = []
     for kind in KINDS:
-        of_kind = F.col("kind") == kind
+        of_kind = is_beaten() & (F.col("kind") == kind)
         aggs += [
             F.count_if(of_kind).alias(f"total_{kind}"),
             F.count_if(of_kind & recent).alias(f"recent15_{kind}"),
             _last(["value", "month", "provisional"], of_kind).alias(f"last_{kind}"),
         ]
-    per_station = events.filter(is_beaten()).groupBy("station_id").agg(*aggs)
-    header = stations.join(
-        coverage.filter("is_active").select("station_id", "first_date", "last_date", "n_days"),
-        "station_id",
-    )
-    joined = header.join(per_station, "station_id", "left")
+    return aggs
+
+
+def _active(coverage: DataFrame, stations: DataFrame) -> DataFrame:
+    figures = coverage.filter("is_active").select("station_id", "first_date", "last_date", "n_days")
+    return stations.join(figures, "station_id")
+
+
+def _summary_columns() -> list[Column | str]:
+    """Columns of ``station_summary`` out of the header and what ``_totals`` gives."""
 
     def count(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("bigint")
@@ -47,7 +58,7 @@ def station_summary(
     def total(kinds: tuple[str, ...]) -> Column:
         return sum((count(f"total_{k}") for k in kinds), F.lit(0).cast("bigint"))
 
-    return joined.select(
+    return [
         "station_id", "name", "province", "altitude", "lat", "lon",
         "first_date", "last_date", "n_days",
         *[count(f"total_{k}").alias(f"total_{k}") for k in KINDS],
@@ -62,7 +73,7 @@ def station_summary(
                 ("month", "month"), ("provisional", "provisional"),
             )
         ],
-    )
+    ]
 
 
 def current_alltime(events: DataFrame) -> DataFrame:
@@ -116,14 +127,10 @@ def current_monthly(events: DataFrame) -> DataFrame:
 
 def last_record(events: DataFrame) -> DataFrame:
     """Latest beaten event of any kind per station; on one day the first kind in order wins."""
-    rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    newest = F.max(
-        F.struct("obs_date", (-rank).alias("rank"), "kind", "month", "value", "provisional")
-    )
     return (
         events.filter(is_beaten())
         .groupBy("station_id")
-        .agg(newest.alias("last"))
+        .agg(_newest_beaten().alias("last"))
         .select(
             "station_id", "last.obs_date", "last.kind", "last.month", "last.value",
             "last.provisional",
@@ -131,6 +138,12 @@ def last_record(events: DataFrame) -> DataFrame:
     )
 
 
+def _newest_beaten() -> Column:
+    rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    newest = F.struct("obs_date", (-rank).alias("rank"), "kind", "month", "value", "provisional")
+    return F.max(F.when(is_beaten(), newest))
+
+
 def event_timeline(events: DataFrame) -> DataFrame:
     """The whole ladder; rungs that beat nothing are marked ``initial``."""
     return events.select(*EVENT_COLUMNS, (~is_beaten()).alias("initial"))
@@ -145,59 +158,47 @@ def station_documents(
 ) -> DataFrame:
     """One nested row per active station.
 
-    Each part is an aggregation per station, so all meet on ``station_id`` without another
-    shuffle. Arrays are bounded by the calendar: at most four events a day and one gap per
-    ``export_gap_min_days`` days.
+    All that the ladder gives (totals, last, current and monthly records, timeline) comes from one
+    aggregation of it per station, in which only the timeline grows with the events. Arrays are
+    bounded by the calendar: at most four events a day and one gap per ``export_gap_min_days`` days.
     """
-    summary = station_summary(events, coverage, stations, p)
-    alltime = current_alltime(events).groupBy("station_id").agg(
-        *[
-            F.max(F.when(F.col("family") == f, F.struct("obs_date", "value", "provisional"))).alias(f"current_{f}")
-            for f in FAMILIES
-        ]
-    )
-    slot = F.struct("obs_date", "value", "provisional", "is_alltime")
-    filled = F.col("obs_date").isNotNull()
-    monthly = (
-        current_monthly(events)
-        .groupBy("station_id", "month")
-        .agg(*[F.max(F.when((F.col("family") == f) & filled, slot)).alias(f) for f in FAMILIES])
-        .groupBy("station_id")
-        .agg(F.sort_array(F.collect_list(F.struct("month", *FAMILIES))).alias("months"))
-    )
-    last = last_record(events).select(
-        "station_id", F.struct("obs_date", "kind", "month", "value", "provisional").alias("last_record")
-    )
+
+    def newest(when: Column) -> Column:
+        return _last(["value", "provisional"], when)
+
     newest_first = (-F.unix_date("obs_date")).alias("order")
-    timeline = event_timeline(events).groupBy("station_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    newest_first, "kind", "month", "obs_date", "value", "prev_value",
-                    "days_since_prev", "provisional", "initial",
-                )
-            )
-        ).alias("events")
+    event = F.struct(
+        newest_first, "kind", "month", "obs_date", "value", "prev_value",
+        "days_since_prev", "provisional", (~is_beaten()).alias("initial"),
+    )
+    per_station = events.groupBy("station_id").agg(
+        *_totals(p),
+        *[newest(is_all_time() & (family() == f)).alias(f"current_{f}") for f in FAMILIES],
+        *[newest((F.col("month") == m) & (family() == f)).alias(f"month_{m}_{f}") for m in MONTHS for f in FAMILIES],
+        _newest_beaten().alias("last"),
+        F.sort_array(F.collect_list(event)).alias("events"),
     )
     gap_list = gaps.groupBy("station_id").agg(
         F.sort_array(F.collect_list(F.struct("gap_from", "gap_to", "n_days"))).alias("gaps")
     )
-    joined = summary
-    for part in (alltime, monthly, last, timeline, gap_list):
-        joined = joined.join(part, "station_id", "left")
+    joined = _active(coverage, stations).join(per_station, "station_id", "left").join(gap_list, "station_id", "left")
+
+    def slot(month: int, which: str) -> Column:
+        """The month's record, marked if it was set on the day of the current all-time one."""
+        record = F.col(f"month_{month}_{which}")
+        same = F.coalesce(record["obs_date"] == F.col(f"current_{which}.obs_date"), F.lit(False))
+        return F.when(record.isNotNull(), record.withField("is_alltime", same)).alias(which)
+
+    months = F.array(*[F.struct(F.lit(m).alias("month"), *[slot(m, f) for f in FAMILIES]) for m in MONTHS])
+    last = F.struct(*[F.col(f"last.{c}") for c in ("obs_date", "kind", "month", "value", "provisional")])
 
     def empty_if_null(name: str) -> Column:
         return F.coalesce(F.col(name), F.array()).alias(name)
 
-    empty_year = F.transform(
-        F.sequence(F.lit(1), F.lit(12)),
-        lambda m: F.struct(
-            m.alias("month"), *[F.lit(None).cast(monthly.schema["months"].dataType.elementType[f].dataType).alias(f) for f in FAMILIES]
-        ),
-    )
     return joined.select(
-        *summary.columns,
-        "current_max", "current_min", "last_record",
-        F.coalesce("months", empty_year).alias("months"),
+        *_summary_columns(),
+        "current_max", "current_min",
+        F.when(F.col("last").isNotNull(), last).alias("last_record"),
+        months.alias("months"),
         empty_if_null("events"), empty_if_null("gaps"),
     )

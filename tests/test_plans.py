@@ -39,3 +39,20 @@ def test_no_python_rows_and_no_products(spark, sf_dir, name):
     text = plan(catalog.queries()[name](spark, sf_dir))
     assert "EvalPython" not in text and "InPandas" not in text
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_station_documents_reduce_the_ladder_once(spark, stored, tmp_path):
+    """One shuffle each for ladder, gaps, dimension and coverage, and one scan of the ladder."""
+    from highmark.operators import coverage, stations
+
+    p = standins.PART
+    tables = {
+        "events": ladder.record_events(stored, p), "coverage": coverage.station_coverage(stored, p),
+        "gaps": coverage.coverage_gaps(stored, p), "dim": spark.createDataFrame([], standins.STATIONS),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    text = plan(stations.station_documents(tables["events"], tables["coverage"], tables["dim"], tables["gaps"], p))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 4
+    assert len(re.findall(r"ReadSchema: struct<[^>]*prev_value", text)) == 1
