@@ -15,10 +15,10 @@ from highmark.operators import (
 )
 from highmark.operators import stations as st
 from highmark.params import RunParams
-from highmark.plans import daily, documents, incremental, landed
+from highmark.plans import bulk, daily, documents, incremental, landed
 from highmark.schemas import ALL_MAX, ALL_MIN, CHUNK_LEDGER, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_HOURLY
 from highmark.session import work_folder
-from highmark.sources import files, summaries, tables
+from highmark.sources import files, readers, summaries, tables
 from highmark.streaming import intraday
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +278,33 @@ def _chunks(what: str) -> Query:
     return run
 
 
+def _bulk(what: str) -> Query:
+    """The monthly archive as a landed tree; months before the stored part are in the ledger."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        base = work_folder(spark, "months")
+        files.write_files(X.month_pages(spark, sf_dir), base)
+        load = bulk.bulk_load(spark, base, X.month_log(spark, sf_dir), X.PART, 7)
+        if what == "rows":
+            return load.rows.select("station_id", "obs_date", "tmax", "tmin", "provisional", "seq")
+        return getattr(load, what)
+
+    return run
+
+
+def _landed(pages: Callable[[SparkSession, str], DataFrame], job: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Pages written to the shared folder, and a job over that folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        base = work_folder(spark, "landed")
+        files.write_files(pages(spark, sf_dir), base)
+        return job(spark, base)
+
+    return run
+
+
 def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = planning.month_ledger(X.month_log(spark, sf_dir))
     return planning.months_to_load(X.months(spark, sf_dir), ledger, X.PART)
@@ -434,6 +461,13 @@ def queries() -> dict[str, Query]:
         "chunk_load_rows": _chunks("rows"),
         "chunk_load_ledger": _chunks("ledger"),
         "chunk_load_next_plan": _chunks("plan"),
+        "bulk_load_rows": _bulk("rows"),
+        "bulk_load_ledger": _bulk("ledger"),
+        "bulk_load_failed": _bulk("failed"),
+        "landed_stations": _landed(X.station_pages_json, lambda spark, base: clean.clean_stations(readers.read_stations(spark, base))),
+        "landed_hourly": _landed(
+            X.hourly_pages, lambda spark, base: clean.hourly_daily_extremes(readers.read_hourly(spark, base), X.PART.local_tz)
+        ),
         "daily_cycle": _cycle("record_events"),
         "daily_cycle_new_events": _cycle("record_events_new"),
         "daily_cycle_pending": _cycle_pending,

@@ -398,3 +398,28 @@ def supplier_history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(rest == 0, "finished").otherwise("started").alias("event"),
         F.lit(None).cast("date").alias("earliest"), F.lit(None).cast("bigint").alias("n_rows"), F.lit(1).cast("bigint").alias("seq"),
     )
+
+
+BROKEN_MONTH = (2000, 5)
+
+
+def month_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of the order lines' months as ``YYYY/MM/all.json``; one month cannot be read to its end."""
+    day = F.right("fecha", F.lit(10)).cast("date")
+    raw = raw_daily(spark, sf_dir).withColumns({"year": F.year(day), "month": F.month(day)})
+    broken = (F.col("year") == BROKEN_MONTH[0]) & (F.col("month") == BROKEN_MONTH[1])
+    path = F.format_string("%d/%02d/all.json", "year", "month")
+    text = F.when(broken, F.left("text", F.length("text") - 9)).otherwise(F.col("text"))
+    return as_pages(raw, "year", "month").select(path.alias("path"), text.alias("text"))
+
+
+def hourly_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of the readings, one file a day."""
+    raw = raw_hourly(spark, sf_dir).withColumn("day", F.left("fint", F.lit(10)))
+    return as_pages(raw, "day").select(F.concat("day", F.lit(".json")).alias("path"), "text")
+
+
+def station_pages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of the raw stations, one file a province."""
+    raw = raw_stations(spark, sf_dir).withColumn("file", F.concat(F.lit("p"), F.regexp_replace("provincia", "[^A-Za-z0-9]", "")))
+    return as_pages(raw, "file").select(F.concat("file", F.lit(".json")).alias("path"), "text")
