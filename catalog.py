@@ -112,7 +112,7 @@ def _stats_document(r: Run) -> DataFrame:
 
 
 def _rankings_document(r: Run) -> DataFrame:
-    return documents.rankings_json(documents.rankings_document(*r.read_model, r.p))
+    return documents.rankings_json(documents.rankings_document(*r.read_model, r.p, store=r.keep))
 
 
 def _station_documents(r: Run) -> DataFrame:
@@ -477,6 +477,7 @@ def queries() -> dict[str, Query]:
         ),
         "versioned_new_events": _runs(lambda spark, last, p: last.record_events_new),
         "versioned_run_counts": _runs(_run_counts),
+        "versioned_station_ladder": _runs(lambda spark, last, p: incremental.station_ladder(spark, last.base, last.held, "1")),
     }
     for name, kind in (("max", ALL_MAX), ("min", ALL_MIN)):
         result[f"top_alltime_{name}"] = _over(

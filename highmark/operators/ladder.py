@@ -206,9 +206,8 @@ def refresh_record_events(
     return redone.unionByName(kept)
 
 
-def in_display_order(events: DataFrame) -> DataFrame:
-    """Order of a published ladder, inside each written partition."""
-    return events.repartition("station_id").sortWithinPartitions(
-        "station_id", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")),
-        F.coalesce("month", F.lit(0)), "obs_date",
-    )
+def display_order() -> list[Column | str]:
+    """Sort columns of a published ladder: station, kind, month, day."""
+    return [
+        "station_id", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")), F.coalesce("month", F.lit(0)), "obs_date"
+    ]

@@ -26,6 +26,36 @@ def active_stations(coverage: DataFrame, stations: DataFrame) -> DataFrame:
     return stations.select(*STATION_HEADER).join(active, "station_id", "left_semi")
 
 
+def ranking_rows(events: DataFrame, p: RunParams) -> DataFrame:
+    """The events that can be in any of the lists below, from one shuffle of the ladder by station.
+
+    Every list of these rows is the list of the whole ladder: what is no station's best or latest, nor among
+    its own first rows of a list, is not among the first of all. Of a station stay its best row per kind and
+    month, the latest ones, ``RECENT_SIZE`` recent and ``MARGIN_SIZE`` wide ones, and the beaten ones of
+    the last 12 months and of its own last year, which is the year of the newest event or does not count.
+    """
+    station = Window.partitionBy("station_id")
+
+    def place(window: Window, first: Column, *order: Column | str) -> Column:
+        """Position among the rows for which ``first`` is true; these come before all others."""
+        return F.when(first, F.row_number().over(window.orderBy(F.desc(first), *order)))
+
+    sure, beaten = is_definitive(), is_definitive() & is_beaten()
+    kind = Window.partitionBy("station_id", "kind", "month")
+    newest = F.max("obs_date").over(station)
+    recent = place(station, beaten, F.desc("obs_date"), F.desc(margin()), "kind", F.asc_nulls_first("month"))
+    wide = place(station, beaten & is_all_time(), F.desc(margin()), F.desc("obs_date"), "kind")
+    keep = (
+        (place(station, F.lit(True), F.desc("obs_date")) == 1)
+        | (place(kind, sure, F.desc("value"), "obs_date") == 1)
+        | (place(kind, sure & is_all_time(), F.desc("obs_date"), F.desc("value")) == 1)
+        | (recent <= RECENT_SIZE)
+        | (wide <= MARGIN_SIZE)
+        | (beaten & ((F.year("obs_date") == F.year(newest)) | (F.col("obs_date") >= F.add_months(F.lit(p.as_of), -12))))
+    )
+    return events.withColumn("keep", F.coalesce(keep, F.lit(False))).filter("keep").drop("keep")
+
+
 def _of_kind(events: DataFrame, kind: str) -> DataFrame:
     return events.filter((F.col("kind") == kind) & is_definitive())
 

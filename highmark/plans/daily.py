@@ -160,7 +160,9 @@ def daily_cycle(
         ),
         generated_at,
     )
-    rankings_doc = docs.rankings_document(events, coverage, dim, p, generated_at)
+    rankings_doc = docs.rankings_document(
+        events, coverage, dim, p, generated_at, store=lambda name, table: _stored(spark, table, f"{out_dir}/{name}")
+    )
     summary = _stored(
         spark, st.station_summary(events, coverage, dim, p), f"{out_dir}/station_summary"
     )

@@ -133,8 +133,10 @@ def rankings_document(
     stations: DataFrame,
     p: RunParams,
     generated_at: str | None = None,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, table: table,
 ) -> DataFrame:
-    """One row holding every leaderboard."""
+    """One row holding every leaderboard. ``store`` keeps the rows that the lists share, so the ladder is read once."""
+    events = store("ranking_rows", R.ranking_rows(events, p))
     tables = (events, coverage, stations)
     day, value = F.unix_date("obs_date"), F.col("value")
 

@@ -4,7 +4,8 @@ Days up to ``as_of - provisional_max_age_days - 1`` are settled: after the purge
 definitive. The store (``sources/versions.py``) holds
 
 * ``observations`` by year; a run writes the years of its arrivals and of what it purges,
-* ``closed``, the rungs that no later day changes, by station bucket; runs append to it,
+* ``closed``, the rungs that no later day changes, by station bucket, each file in the order in which
+  ladders are published; runs append to it,
 * ``state``, one row per station as of the settled day,
 * ``tail``, the events that rest on days after the settled one.
 
@@ -40,6 +41,7 @@ _BUCKETED = f"{ladder_state.EVENTS}, bucket int"
 class Cycle:
     """What a run leaves: its version, the table and the ladder through the manifest, and what is new."""
 
+    base: str
     version: str
     held: list[Piece]
     observations: DataFrame
@@ -64,6 +66,15 @@ def ladder_of(spark: SparkSession, base: str, held: list[Piece]) -> DataFrame:
     return closed.unionByName(versions.read_pieces(spark, base, "tail", held, ladder_state.EVENTS))
 
 
+def station_ladder(spark: SparkSession, base: str, held: list[Piece], station_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """One station's ladder in the order of publication: one bucket is opened, and of its files what holds the station."""
+    mine = F.col("station_id") == station_id
+    bucket = F.pmod(F.xxhash64(F.lit(station_id)), F.lit(buckets)).cast("int")
+    closed = versions.read_pieces(spark, base, "closed", held, _BUCKETED).filter((F.col("bucket") == bucket) & mine).drop("bucket")
+    tail = versions.read_pieces(spark, base, "tail", held, ladder_state.EVENTS).filter(mine)
+    return closed.unionByName(tail).orderBy(*ladder.display_order())
+
+
 def _stored(spark: SparkSession, df: DataFrame, path: str, schema) -> DataFrame:
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -150,7 +161,7 @@ def run_cycle(
     if rewritten:
         kept = versions.read_pieces(spark, base, "closed", held, _BUCKETED, rewritten).drop("bucket")
         added = added.unionByName(kept.join(changed, "station_id", "left_anti") if hit else kept)
-    added = added.withColumn("bucket", _bucket(buckets)).repartition("bucket").sortWithinPartitions("bucket", "station_id", "obs_date")
+    added = added.withColumn("bucket", _bucket(buckets)).repartition("bucket").sortWithinPartitions("bucket", *ladder.display_order())
     added.write.mode("errorifexists").option("compression", "zstd").partitionBy("bucket").parquet(f"{base}/{path}")
     closed_now = spark.read.schema(_BUCKETED).parquet(f"{base}/{path}")
     closed = [q for q in old_closed if q.part not in rewritten]
@@ -169,7 +180,7 @@ def run_cycle(
             versions.read_pieces(spark, base, "closed", held, _BUCKETED, rewritten).drop("bucket")
         )
     return Cycle(
-        version, new_held, observations_of(spark, base, new_held), ladder_of(spark, base, new_held),
+        base, version, new_held, observations_of(spark, base, new_held), ladder_of(spark, base, new_held),
         ladder.new_record_events(now, previous), changed,
     )
 

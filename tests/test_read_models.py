@@ -6,7 +6,9 @@ from datetime import date
 import pytest
 
 import standins
-from highmark.operators import coverage, rankings, stats
+import test_ladder
+from highmark.operators import coverage, ladder, rankings, stats
+from highmark.operators import rankings as R
 from highmark.operators import stations as st
 from highmark.params import RunParams
 from highmark.plans import daily, documents
@@ -236,3 +238,28 @@ def test_gap_across_year_end_and_minimum(spark):
     obs = spark.createDataFrame([("a", d, 1.0, None, False) for d in days], "station_id string, obs_date date, tmax double, tmin double, provisional boolean")
     got = sorted((r.gap_from, r.n_days) for r in coverage.coverage_gaps(obs, P).collect())
     assert got == [(date(2019, 12, 21), 7), (date(2019, 12, 29), 7)]
+
+
+def test_lists_of_ranking_rows_are_those_of_the_ladder(spark, tmp_path):
+    """Random ladders with provisional events, at list sizes that bind: every list is the same, from far fewer rows."""
+    rows = test_ladder.random_rows(5, stations=14, years=9)
+    p = standins.replace(test_ladder.P, as_of=max(r[1] for r in rows), active_min_days=1, warmup_days=30)
+    full = ladder.record_events(spark.createDataFrame(rows, test_ladder.SCHEMA), p)
+    full.write.parquet(f"{tmp_path}/full")
+    full = spark.read.parquet(f"{tmp_path}/full")
+    R.ranking_rows(full, p).write.parquet(f"{tmp_path}/few")
+    few = spark.read.parquet(f"{tmp_path}/few")
+    assert few.count() < full.count() and few.exceptAll(full).count() == 0
+    ids = [f"s{k}" for k in range(14)]
+    cover = spark.createDataFrame([(i, i != "s3") for i in ids], "station_id string, is_active boolean")
+    dim = spark.createDataFrame([(i, f"n{i}", "p", 1) for i in ids], "station_id string, name string, province string, altitude int")
+    lists = [
+        *[lambda e, k=k: R.top_alltime(e, cover, dim, k, 4) for k in ("all_max", "all_min")],
+        *[lambda e, k=k: R.longest_standing(e, cover, dim, k, 4) for k in ("all_max", "all_min")],
+        *[lambda e, k=k: R.top_by_month(e, cover, dim, k, 4) for k in ("month_max", "month_min")],
+        lambda e: R.recent_records(e, cover, dim), lambda e: R.largest_margins(e, cover, dim),
+        *[lambda e, m=m: R.most_active(e, cover, dim, p, m) for m in ("year", "12m")],
+    ]
+    for of in lists:
+        assert sorted(map(repr, of(few).collect())) == sorted(map(repr, of(full).collect()))
+    assert R.latest_event_year(few).collect() == R.latest_event_year(full).collect()

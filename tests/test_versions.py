@@ -98,6 +98,12 @@ def test_steps_of_a_store(spark, store, monkeypatch):
     wanted = ladder.new_record_events(third.record_events, second.record_events)
     assert third.record_events_new.exceptAll(wanted).count() == wanted.exceptAll(third.record_events_new).count() == 0
 
+    one = incremental.station_ladder(spark, base, third.held, "s2", 4)
+    wanted = third.record_events.filter("station_id = 's2'").orderBy(*ladder.display_order()).collect()
+    assert one.collect() == wanted and len(wanted) > 20
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in text and "EqualTo(station_id,s2)" in text
+
     # 4. the same version cannot be followed twice, and settled days do not come back
     other = lambda: versions.replace_small(base, versions.POINTER, second.version)
     with pytest.raises(versions.Conflict):
