@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from highmark.operators import (
 from highmark.operators import stations as st
 from highmark.params import RunParams
 from highmark.plans import bulk, daily, documents, incremental, landed
-from highmark.schemas import ALL_MAX, ALL_MIN, CHUNK_LEDGER, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_HOURLY
+from highmark.schemas import ALL_MAX, ALL_MIN, CHUNK_LEDGER, MONTH_MAX, MONTH_MIN, OBSERVATIONS, RAW_DAILY, RAW_HOURLY
 from highmark.session import work_folder
 from highmark.sources import files, readers, summaries, tables
 from highmark.streaming import intraday
@@ -129,6 +130,35 @@ def _parsed(files: DataFrame) -> DataFrame:
     return summaries.parse_daily_summary(files, store)
 
 
+def _site(r: Run) -> DataFrame:
+    """Files of a site where every station had a document and only active ones still have: path and text, read back."""
+    base = work_folder(r.spark, "site")
+    path = F.concat(F.lit(publication.STATION_FOLDER), "station_id", F.lit(".json")).alias("path")
+    before = r.stations.select(path, F.lit("{}").alias("text"))
+    files.write_files(before, base)
+    files.write_files(_station_documents(r).select(path, "text"), base)
+    delta = publication.publication_delta(publication.document_manifest(r.coverage, r.stations), before)
+    files.delete_files(delta, base)
+    found = r.spark.read.option("wholetext", True).text(f"{base}/stations").select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)[.]json$", 1).alias("station_id"), F.col("value").alias("text")
+    )
+    return found
+
+
+def _restored_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations restored into a new store, and whether a second restore into it is refused."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    folder = work_folder(spark, "restore")
+    tables.snapshot({"stations": X.stations(spark, sf_dir, "part")}, f"{folder}/snapshot")
+    restored = tables.restore_into(spark, f"{folder}/snapshot", f"{folder}/store")["stations"]
+    try:
+        tables.restore_into(spark, f"{folder}/snapshot", f"{folder}/store")
+        refused = False
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
+    return restored.withColumn("refused", F.lit(refused))
+
+
 def _station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.extract_station_map(X.station_pages(spark, sf_dir), min_rows=0)
 
@@ -174,6 +204,20 @@ def _live_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select("station_id", "obs_date", "tmax", "tmin")
 
 
+def _both_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings and daily records as two streams into one log; what is definitive replaces what was read."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    folder = work_folder(spark, "streams")
+    X.raw_hourly(spark, sf_dir).write.parquet(f"{folder}/hourly")
+    X.hourly_confirmations(spark, sf_dir).write.parquet(f"{folder}/daily")
+    daily_rows = spark.readStream.schema(RAW_DAILY).parquet(f"{folder}/daily")
+    hourly = spark.readStream.schema(RAW_HOURLY).parquet(f"{folder}/hourly")
+    intraday.ingest_daily(daily_rows, f"{folder}/log", f"{folder}/daily-checkpoint").awaitTermination()
+    intraday.ingest_hourly(hourly, f"{folder}/log", f"{folder}/hourly-checkpoint", X.PART).awaitTermination()
+    resolved = resolve.resolve_observations(intraday.read_log(spark, f"{folder}/log"))
+    return resolved.select("station_id", "obs_date", "tmax", "tmin", "provisional")
+
+
 def _merge(job: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -449,6 +493,11 @@ def queries() -> dict[str, Query]:
         "event_timeline": _over("part", lambda r: st.event_timeline(r.events)),
         "station_documents": _over("supplier", _station_documents, stored=True),
         "publication_delta": _over("part", _published),
+        "published_files": _over("supplier", _site, stored=True),
+        "restore_into": _restored_into,
+        "resolve_stations": _from(X.station_log, resolve.resolve_stations),
+        "arrival_counts": _from(X.incoming_provisional, resolve.arrival_counts),
+        "stream_definitive_supersedes": _both_streams,
         # planning
         "ingest_plan_months": _months,
         "ingest_plan_chunks": _over("supplier", lambda r: planning.fetch_chunks(r.obs, fetch)),

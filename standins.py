@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from highmark.operators.clean import hourly_daily_extremes
 from highmark.params import RunParams
 from highmark.schemas import MEASURE_COLUMNS, RAW_DAILY, STATIONS
 
@@ -423,3 +424,18 @@ def station_pages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, text`` of the raw stations, one file a province."""
     raw = raw_stations(spark, sf_dir).withColumn("file", F.concat(F.lit("p"), F.regexp_replace("provincia", "[^A-Za-z0-9]", "")))
     return as_pages(raw, "file").select(F.concat("file", F.lit(".json")).alias("path"), "text")
+
+
+def station_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as they arrive: all of them twice, the later time without the altitude of every fifth."""
+    first = stations(spark, sf_dir, "supplier").withColumns({"name": F.concat(F.lit("old "), "name"), "seq": F.lit(1)})
+    fifth = F.col("station_id").cast("int") % 5 == 0
+    return first.unionByName(
+        stations(spark, sf_dir, "supplier").withColumns({"altitude": F.when(~fifth, F.col("altitude")), "seq": F.lit(2)})
+    )
+
+
+def hourly_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw daily records, one unit lower, for the days of every third user."""
+    days = hourly_daily_extremes(raw_hourly(spark, sf_dir), PART.local_tz)
+    return as_raw(days.filter(F.col("station_id").cast("int") % 3 == 0), -1)
