@@ -113,6 +113,10 @@ def _stats_document(r: Run) -> DataFrame:
 
 
 def _rankings_document(r: Run) -> DataFrame:
+    return documents.rankings_json(documents.rankings_document(*r.read_model, r.p))
+
+
+def _rankings_reduced(r: Run) -> DataFrame:
     return documents.rankings_json(documents.rankings_document(*r.read_model, r.p, store=r.keep))
 
 
@@ -485,6 +489,7 @@ def queries() -> dict[str, Query]:
         "recent_records": _over("part", lambda r: rankings.recent_records(*r.read_model)),
         "largest_margins": _over("part", lambda r: rankings.largest_margins(*r.read_model)),
         "rankings_document": _over("part", _rankings_document, stored=True),
+        "rankings_document_reduced": _over("part", _rankings_reduced, stored=True),
         # per-station read models
         "station_summary": _over("part", lambda r: st.station_summary(*r.read_model, r.p)),
         "current_alltime": _over("part", lambda r: st.current_alltime(r.events)),

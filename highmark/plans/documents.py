@@ -133,10 +133,16 @@ def rankings_document(
     stations: DataFrame,
     p: RunParams,
     generated_at: str | None = None,
-    store: Callable[[str, DataFrame], DataFrame] = lambda name, table: table,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row holding every leaderboard. ``store`` keeps the rows that the lists share, so the ladder is read once."""
-    events = store("ranking_rows", R.ranking_rows(events, p))
+    """One row holding every leaderboard.
+
+    Each list reads a few columns of the ladder, so that should be stored. With ``store`` the ladder is read
+    once and cut to ``ranking_rows``, which are kept for all lists; that pays where stations have long
+    ladders, not where most of their events can be in a list.
+    """
+    if store is not None:
+        events = store("ranking_rows", R.ranking_rows(events, p))
     tables = (events, coverage, stations)
     day, value = F.unix_date("obs_date"), F.col("value")
 
@@ -176,6 +182,9 @@ def rankings_document(
 
 
 # ---- JSON text ------------------------------------------------------------------------
+#
+# The keys of the published documents, in stats_json, rankings_json, _header, summary_json
+# and station_json.
 
 
 def _kind_name(kind: Column) -> Column:

@@ -8,7 +8,7 @@ import catalog
 import standins
 from highmark.operators import ladder
 
-NOT_EAGER = [n for n in catalog.queries() if not n.startswith(("versioned_", "history_load_", "chunk_load_", "bulk_load_", "landed_")) and n not in ("daily_cycle", "daily_cycle_new_events", "daily_cycle_pending", "published_files", "restore_into", "stream_definitive_supersedes", "parse_daily_summary", "stream_daily_extremes", "live_daily_extremes", "snapshot_restore", "snapshot_tables", "stats_document", "rankings_document", "station_documents")]
+NOT_EAGER = [n for n in catalog.queries() if not n.startswith(("versioned_", "history_load_", "chunk_load_", "bulk_load_", "landed_")) and n not in ("daily_cycle", "daily_cycle_new_events", "daily_cycle_pending", "published_files", "restore_into", "stream_definitive_supersedes", "parse_daily_summary", "stream_daily_extremes", "live_daily_extremes", "snapshot_restore", "snapshot_tables", "stats_document", "rankings_document", "rankings_document_reduced", "station_documents")]
 
 
 def plan(df):
