@@ -3,7 +3,9 @@
 A token sequence is the encoding of its bytes exactly if every two neighbours are: merges run by
 rank, so until a merge first crosses a border both neighbours change as they would alone. Joining
 two encodings thus needs only a window around the seam: it is encoded anew and grows until its
-outer borders are such pairs; nothing outside can change then.
+outer borders are such pairs; nothing outside can change then. Every match that is no token is
+halved down to single bytes and joined up again; short halves, which recur in many matches, are
+kept, and so is what each pair of neighbours becomes.
 
 The same holds for the pattern that cuts a text before the merges: a space directly before a
 character that is no white space always starts a match, so texts are cut there.
@@ -17,6 +19,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -27,7 +31,12 @@ from pyspark.sql import functions as F
 from llm.common import in_tasks, slices, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF_BYTES = 24
+#: Windows up to so many bytes are merged over a list, longer ones over a heap.
+LIST_BYTES = 24
+#: Halves up to so many bytes are kept.
+KEPT_BYTES = 6
+#: Ids that decoding takes without halving them.
+LEAF_IDS = 64
 SPAN_CHARS = 1 << 15
 #: Entries that a worker keeps of what it has encoded; beyond, it starts anew.
 MEMO_CHUNKS, MEMO_MATCHES = 300_000, 400_000
@@ -36,6 +45,13 @@ SPACE = "\t-\r \x85\xa0  -     　"
 SEAM = re.compile(f" (?=[^{SPACE}])")
 
 
+def packed(ids: list[int]) -> bytes:
+    words = array("I", ids)
+    if sys.byteorder == "big":
+        words.byteswap()
+    return words.tobytes()
+
+
 class Codec:
     """Encoder and decoder for one rank table."""
 
@@ -45,13 +61,14 @@ class Codec:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], list[int] | None] = {}
+        self.halves: dict[bytes, list[int]] = {}
         self.matches: dict[str, bytes] = {}
         self.chunks = _Chunks(self)
 
     def merged(self, data: bytes) -> list[int]:
         """Merges by lowest rank, leftmost first, from single bytes."""
-        if len(data) > LEAF_BYTES:
+        if len(data) > LIST_BYTES:
             return self._merged_long(data)
         get, parts = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
         none = len(self.ranks)
@@ -95,40 +112,52 @@ class Codec:
                 offer(before[i])
         return [self.ranks[data[i : end[i]]] for i in range(n) if alive[i]]
 
-    def settled(self, a: int, b: int) -> bool:
-        """Whether ``a b`` is the encoding of its bytes."""
-        known = self.pairs.get((a, b))
-        if known is None:
+    def window(self, a: int, b: int) -> list[int] | None:
+        """Encoding of the bytes of ``a b``; None if that is ``a b``, which are settled then."""
+        found = self.pairs.get((a, b), False)
+        if found is False:
             if len(self.pairs) > MEMO_MATCHES:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
+            found = self.merged(self.bytes_of[a] + self.bytes_of[b])
+            found = self.pairs[a, b] = None if found == [a, b] else found
+        return found
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Encoding of the bytes of both, from their encodings."""
-        if not left or not right or self.settled(left[-1], right[0]):
+        if not left or not right:
+            return left + right
+        window = self.window(left[-1], right[0])
+        if window is None:
             return left + right
         i = j = 1
         while True:
-            window = self.merged(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i :] + right[:j])))
-            fits_left = i == len(left) or self.settled(left[-i - 1], window[0])
-            fits_right = j == len(right) or self.settled(window[-1], right[j])
+            fits_left = i == len(left) or self.window(left[-i - 1], window[0]) is None
+            fits_right = j == len(right) or self.window(window[-1], right[j]) is None
             if fits_left and fits_right:
                 return left[: len(left) - i] + window + right[j:]
             i = i if fits_left else min(2 * i, len(left))
             j = j if fits_right else min(2 * j, len(right))
+            window = self.merged(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i :] + right[:j])))
 
     def tree(self, data: bytes) -> list[int]:
-        if len(data) <= LEAF_BYTES:
-            return self.merged(data)
+        """Ids of bytes that the pattern does not cut: both halves encoded, then joined."""
+        if len(data) < 2:
+            return [self.ranks[data]] if data else []
         half = len(data) // 2
-        return self.join(self.tree(data[:half]), self.tree(data[half:]))
+        if len(data) > KEPT_BYTES:
+            return self.join(self.tree(data[:half]), self.tree(data[half:]))
+        ids = self.halves.get(data)
+        if ids is None:
+            if len(self.halves) > MEMO_MATCHES:
+                self.halves.clear()
+            ids = self.halves[data] = self.join(self.tree(data[:half]), self.tree(data[half:]))
+        return ids
 
     def match_ids(self, match: str) -> bytes:
         """Ids of one match of the pattern, as little-endian unsigned 32-bit integers."""
         data = match.encode()
-        ids = [self.ranks[data]] if data in self.ranks else self.tree(data)
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        whole = self.ranks.get(data)
+        return packed(self.tree(data) if whole is None else [whole])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as little-endian unsigned 32-bit integers."""
@@ -149,8 +178,11 @@ class Codec:
         return head + b"".join(map(self.chunks.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
-        """Bytes of ids; concatenation of the bytes of both halves, down to single ids."""
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
+        """Bytes of ids; concatenation of the bytes of both halves, down to a few ids."""
+        if len(ids) <= 4 * LEAF_IDS:
+            return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
+        half = len(ids) // 8 * 4
+        return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
 class _Chunks(dict):

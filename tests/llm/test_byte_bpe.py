@@ -54,5 +54,25 @@ def test_long_texts_are_cut_at_seams(monkeypatch, library):
         assert ids(codec.encode(text)) == library.encode_ordinary(text)
 
 
+def test_every_match_that_is_no_token_is_joined(monkeypatch, sf_docs):
+    codec = byte_bpe.Codec(byte_bpe.codec(PATH).ranks)
+    seen, joined = set(), set()
+    bytes_of = lambda ids: b"".join(codec.bytes_of[i] for i in ids)
+    match_ids, join = codec.match_ids, codec.join
+    monkeypatch.setattr(codec, "match_ids", lambda m: seen.add(m.encode()) or match_ids(m))
+    monkeypatch.setattr(codec, "join", lambda a, b: joined.add(bytes_of(a) + bytes_of(b)) or join(a, b))
+    for row in sf_docs.collect():
+        codec.encode(row["text"] or "")
+    split = {m for m in seen if m not in codec.ranks}
+    assert len(split) > 100 and split <= joined
+
+
+def test_decoding_halves(monkeypatch, library):
+    monkeypatch.setattr(byte_bpe, "LEAF_IDS", 1)
+    codec = byte_bpe.codec(PATH)
+    for text in ("", "a", "one two", edge.BASE, "日本語🙂" * 40):
+        assert codec.decode(codec.encode(text)) == text.encode()
+
+
 def test_empty_table(no_docs):
     assert byte_bpe.decode_documents(byte_bpe.encode_documents(no_docs)).count() == 0
