@@ -1,32 +1,55 @@
-"""Training order: documents written to shards in a keyed random order that can be read from any slot.
-
-Rows are numbered 0 to N - 1 by ascending id, then text hash: one range partitioning, and the counts
-of its partitions. A Feistel network over the smallest even number of bits that holds N, its rounds
-keyed, permutes the numbers; what falls outside 0 to N - 1 goes through it again until it falls
-inside (cycle-walking), so every number has one slot and every slot one number. Rows are then dealt
-out by ranges of slots; shard k holds the slots ``k * stride`` to ``(k + 1) * stride - 1``, so that a
-reader that stopped at a slot finds its shard by division and opens no earlier one.
-
-Defined results: a null id comes first; a repeated row has a slot of its own; a null text stays
-null; other columns are not read.
+"""Training order: token ids in binary shards of fixed stride, in a keyed random order of sequences.
+
+Tasks encode their documents, put the end id after each, run them together and cut them into
+sequences of ``length`` ids; the last sequence of a task is filled up with end ids. Sequences are
+written once and numbered 0 to N - 1 by file and row, without a sort. A Feistel network over the
+smallest even number of bits that holds N, its rounds keyed, permutes the numbers; what falls outside
+0 to N - 1 goes through it again until it falls inside (cycle-walking), so every number has one slot
+and every slot one number.
+
+Shard k holds the slots ``k * stride`` to ``(k + 1) * stride - 1`` as one file of records of
+``length * ID_BYTES`` bytes, little-endian, and nothing else: the record of a slot is found by one
+division and read at its offset. One task owns a shard, writes it in the order of slots and gives
+it its name by a rename, so a lost task only writes the same bytes again. The folder ``index`` tells
+which part of which document lies where in a sequence, ``order.json`` the sizes.
+
+The same documents in the same partitions have the same order; other partitions number the sequences
+otherwise.
+
+Defined results: null text is empty text, which is the end id alone; null ids stay null; a repeated
+row is written again; an empty table has no sequence and no shard; other columns are not read. Ids
+that do not fit into ``ID_BYTES`` raise.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from highmark.session import work_folder
-from llm.common import in_tasks, table
-
-KEY, STRIDE, ROUNDS = 0x5EED, 4096, 6
-#: A number within a partition fills so many low bits of what ``monotonically_increasing_id`` gives.
-WITHIN = 33
-ORDERED = "slot long, shard long, doc_id long, text string"
+from highmark.sources.files import read_small, replace_small
+from llm.common import in_tasks, slices, table
+from llm.packing import END_ID, VOCABULARY, encoder
+
+KEY, ROUNDS = 0x5EED, 6
+#: Ids in a sequence, bytes of an id, sequences in a shard (32 MB; take more for larger corpora).
+LENGTH, ID_BYTES, STRIDE = 2048, 2, 8192
+#: Sequences handed on at once, whatever the length of a document.
+AT_ONCE = 512
+#: Files up to this many have their first numbers broadcast, some 100 bytes each.
+FEW_FILES = 100_000
+PARTS = "doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, offsets array<bigint>"
+LISTS = ["doc_ids", "starts", "lengths", "offsets"]
+SEQUENCES = f"ids binary, {PARTS}"
+SLOTTED = f"slot long, {SEQUENCES}"
+INDEX = f"slot long, {PARTS}"
+MANIFEST = "order.json"
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -55,48 +78,159 @@ def permuted(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slot_batches(batches: Iterator, before: dict[int, int], size: int, key: int, stride: int) -> Iterator:
-    """Rows with slot and shard; ``before``: how many rows lie in the partitions ahead of each."""
+def _sequence_batch(rows: list[tuple]) -> pa.RecordBatch:
+    ids, *lists = zip(*rows)
+    columns = [pa.array(ids, pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in lists)]
+    return pa.RecordBatch.from_arrays(columns, ["ids", *LISTS])
+
+
+def sequence_batches(batches: Iterator, path: str, length: int, end_id: int) -> Iterator:
+    """``SEQUENCES`` of the documents of one task, run together."""
+    encode, end, kind = encoder(path), np.array([end_id], dtype="<u4"), f"<u{ID_BYTES}"
+    ids, lists, room, rows = [], ([], [], [], []), length, []
+
+    def close() -> None:
+        nonlocal ids, lists, room
+        ids.append(np.full(room, end_id, dtype=kind))
+        rows.append((np.concatenate(ids).tobytes(), *lists))
+        ids, lists, room = [], ([], [], [], []), length
+
+    for batch in batches:
+        for part in slices(batch):
+            for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
+                own = np.concatenate([encode(text), end]) if text else end
+                if int(own.max()) >> 8 * ID_BYTES:
+                    raise ValueError(f"id {own.max()} does not fit into {ID_BYTES} bytes")
+                own, start = own.astype(kind), 0
+                while start < len(own):
+                    piece = own[start : start + room]
+                    ids.append(piece)
+                    for to, value in zip(lists, (doc_id, start, len(piece), length - room)):
+                        to.append(value)
+                    start, room = start + len(piece), room - len(piece)
+                    if not room:
+                        close()
+                        if len(rows) == AT_ONCE:
+                            yield _sequence_batch(rows)
+                            rows.clear()
+    if ids:
+        close()
+    if rows:
+        yield _sequence_batch(rows)
+
+
+def slot_batches(batches: Iterator, size: int, key: int) -> Iterator:
+    """Numbered sequences with their slots."""
     for batch in batches:
         if batch.num_rows:
-            at = batch["at"].to_numpy(zero_copy_only=False)
-            ahead = np.fromiter((before[p] for p in (at >> WITHIN).tolist()), np.int64, len(at))
-            slot = permuted(ahead + (at & ((1 << WITHIN) - 1)), size, key)
-            columns = [pa.array(slot), pa.array(slot // stride), batch["doc_id"], batch["text"]]
-            yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "doc_id", "text"])
-
-
-def slotted(docs: DataFrame, key: int = KEY, stride: int = STRIDE) -> DataFrame:
-    """``ORDERED`` of every row, not yet dealt out. The driver sees one count of each partition."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
-    order = (F.col("doc_id").asc_nulls_first(), F.col("hash"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    path = work_folder(docs.sparkSession, "numbered")
-    rows.select("doc_id", "text", F.monotonically_increasing_id().alias("at")).write.option("compression", "zstd").parquet(path)
-    rows = docs.sparkSession.read.schema("doc_id long, text string, at long").parquet(path)
-    before, size = {}, 0
-    counts = rows.groupBy(F.shiftright("at", WITHIN).alias("part")).agg(F.count("*").alias("n"))
-    for row in sorted(counts.collect(), key=lambda r: r["part"]):
-        before[row["part"]] = size
-        size += row["n"]
-    return rows.mapInArrow(in_tasks("llm.training_order", "slot_batches", before, size, key, stride), ORDERED)
-
-
-def write_order(docs: DataFrame, path: str, key: int = KEY, stride: int = STRIDE) -> None:
-    """One folder ``shard=k`` for each shard; each file in the order of its slots."""
-    dealt = slotted(docs, key, stride).repartitionByRange("slot").sortWithinPartitions("shard", "slot")
-    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(path)
-
-
-def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None = None, stride: int = STRIDE) -> DataFrame:
-    """Slots from ``start`` on, before ``stop`` if given; only their shards are opened."""
-    rows = spark.read.schema(ORDERED).parquet(path).where((F.col("shard") >= start // stride) & (F.col("slot") >= start))
-    if stop is not None:
-        rows = rows.where((F.col("shard") <= (stop - 1) // stride) & (F.col("slot") < stop))
-    return rows.select("slot", "shard", "doc_id", "text")
+            slot = permuted(batch["number"].to_numpy(zero_copy_only=False), size, key)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), *(batch[c] for c in ("ids", *LISTS))], ["slot", "ids", *LISTS])
+
+
+def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: str | None = None) -> tuple[DataFrame, int]:
+    """``SLOTTED`` of all sequences, not yet dealt out, and their number. The driver sees one count of each file."""
+    spark, path = docs.sparkSession, vocabulary or public_tokenizers.path(VOCABULARY)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    folder = work_folder(spark, "sequences")
+    cut = rows.mapInArrow(in_tasks("llm.training_order", "sequence_batches", path, length, END_ID), SEQUENCES)
+    cut.write.option("compression", "zstd").parquet(folder)
+    rows = spark.read.schema(SEQUENCES).parquet(folder)
+    rows = rows.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), *rows.columns)
+    first, size = [], 0
+    for file, n in sorted(tuple(r) for r in rows.groupBy("file").agg(F.count("*").alias("n")).collect()):
+        first.append((file, size))
+        size += n
+    ahead = spark.createDataFrame(first, "file string, ahead long")
+    rows = rows.join(F.broadcast(ahead) if len(first) <= FEW_FILES else ahead, "file")
+    rows = rows.select((F.col("ahead") + F.col("row")).alias("number"), "ids", *LISTS)
+    return rows.mapInArrow(in_tasks("llm.training_order", "slot_batches", size, key), SLOTTED), size
+
+
+def shard_path(root: str, shard: int) -> str:
+    """Shards lie in folders of a thousand."""
+    return f"{root}/shards/{shard // 1000:06d}/{shard:09d}.bin"
+
+
+def shard_batches(batches: Iterator, base: str, stride: int) -> Iterator:
+    """Writes the shards whose sequences come in, each whole and by ascending slot; gives their index rows."""
+    import posixpath
+    import uuid
+
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(base)
+    out = hidden = shard = None
+
+    def close() -> None:
+        if out is not None:
+            out.close()
+            store.move(hidden, shard_path(root, shard))
+
+    for batch in batches:
+        slots = batch["slot"].to_numpy(zero_copy_only=False)
+        ids = batch["ids"]
+        for k, at in enumerate((slots // stride).tolist()):
+            if at != shard:
+                close()
+                shard, folder = at, posixpath.dirname(shard_path(root, at))
+                store.create_dir(folder, recursive=True)
+                hidden = f"{folder}/.{uuid.uuid4().hex}"
+                out = store.open_output_stream(hidden)
+            out.write(ids[k].as_buffer())
+        yield pa.RecordBatch.from_arrays([batch["slot"], *(batch[c] for c in LISTS)], ["slot", *LISTS])
+    close()
+
+
+def write_order(docs: DataFrame, path: str, key: int = KEY, length: int = LENGTH, stride: int = STRIDE, vocabulary: str | None = None) -> None:
+    """Shards, index and sizes below ``path``, which all executors must see."""
+    rows, size = slotted(docs, key, length, vocabulary)
+    shards = max(1, -(-size // stride))
+    dealt = rows.repartitionById(shards, F.expr(f"CAST(slot DIV {stride} AS int)")).sortWithinPartitions("slot")
+    dealt = dealt.mapInArrow(in_tasks("llm.training_order", "shard_batches", path, stride), INDEX)
+    dealt.write.option("compression", "zstd").parquet(f"{path}/index")
+    replace_small(path, MANIFEST, json.dumps({"sequences": size, "length": length, "id_bytes": ID_BYTES, "stride": stride, "key": key}))
+
+
+def record_batches(batches: Iterator, base: str, start: int, stop: int, stride: int, record: int) -> Iterator:
+    """The records of slots ``start`` to ``stop`` - 1 of each shard that comes in as ``id``, a few at a time."""
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(base)
+    for batch in batches:
+        for shard in batch["id"].to_pylist():
+            low, high = max(start, shard * stride), min(stop, (shard + 1) * stride)
+            with store.open_input_file(shard_path(root, shard)) as file:
+                file.seek((low - shard * stride) * record)
+                for slot in range(low, high, AT_ONCE):
+                    n = min(AT_ONCE, high - slot)
+                    data = file.read(n * record)
+                    if len(data) != n * record:
+                        raise ValueError(f"shard {shard} ends before slot {slot + n}")
+                    ids = [data[k * record : (k + 1) * record] for k in range(n)]
+                    columns = [pa.array(range(slot, slot + n), pa.int64()), pa.array([shard] * n, pa.int64()), pa.array(ids, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "ids"])
+
+
+def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
+    """``slot, shard, ids`` of the slots from ``start`` on, before ``stop`` if given; other shards are not
+    opened, and within the first reading begins at the offset of ``start``."""
+    sizes = json.loads(read_small(path, MANIFEST))
+    stride, record = sizes["stride"], sizes["length"] * sizes["id_bytes"]
+    start, stop = max(start, 0), min(sizes["sequences"] if stop is None else stop, sizes["sequences"])
+    first, last = start // stride, -(-stop // stride) if stop > start else start // stride
+    shards = spark.range(first, last, 1, max(1, last - first))
+    return shards.mapInArrow(in_tasks("llm.training_order", "record_batches", path, start, stop, stride, record), "slot long, shard long, ids binary")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """``slot, doc_id, start, length, offset``: each part of a document, and where in its sequence it lies."""
+    parts = spark.read.schema(INDEX).parquet(f"{path}/index").select("slot", F.explode(F.arrays_zip(*LISTS)).alias("p"))
+    return parts.select("slot", *(F.col(f"p.{c}s").alias(c) for c in ("doc_id", "start", "length", "offset")))
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "training-order")
     write_order(table(spark, sf_dir, "documents"), path)
-    return read_order(spark, path)
+    records = read_order(spark, path).select("slot", "shard", F.crc32("ids").alias("record_crc32"))
+    byte_offset = (F.col("slot") % STRIDE * (LENGTH * ID_BYTES) + F.col("offset") * ID_BYTES).alias("byte_offset")
+    return read_index(spark, path).join(records, "slot").select("doc_id", "start", "length", "slot", "shard", byte_offset, "record_crc32")
