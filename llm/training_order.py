@@ -46,7 +46,7 @@ AT_ONCE = 512
 FEW_FILES = 100_000
 PARTS = "doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, offsets array<bigint>"
 LISTS = ["doc_ids", "starts", "lengths", "offsets"]
-SEQUENCES = f"ids binary, {PARTS}"
+SEQUENCES = f"zstd binary, {PARTS}"
 SLOTTED = f"slot long, {SEQUENCES}"
 INDEX = f"slot long, {PARTS}"
 MANIFEST = "order.json"
@@ -79,20 +79,21 @@ def permuted(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
 
 
 def _sequence_batch(rows: list[tuple]) -> pa.RecordBatch:
-    ids, *lists = zip(*rows)
-    columns = [pa.array(ids, pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in lists)]
-    return pa.RecordBatch.from_arrays(columns, ["ids", *LISTS])
+    records, *lists = zip(*rows)
+    columns = [pa.array(records, pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in lists)]
+    return pa.RecordBatch.from_arrays(columns, ["zstd", *LISTS])
 
 
 def sequence_batches(batches: Iterator, path: str, length: int, end_id: int) -> Iterator:
-    """``SEQUENCES`` of the documents of one task, run together."""
+    """``SEQUENCES`` of the documents of one task, run together; a record travels compressed until it is written."""
+    squeeze = pa.Codec("zstd", compression_level=3).compress
     encode, end, kind = encoder(path), np.array([end_id], dtype="<u4"), f"<u{ID_BYTES}"
     ids, lists, room, rows = [], ([], [], [], []), length, []
 
     def close() -> None:
         nonlocal ids, lists, room
         ids.append(np.full(room, end_id, dtype=kind))
-        rows.append((np.concatenate(ids).tobytes(), *lists))
+        rows.append((squeeze(np.concatenate(ids).tobytes(), asbytes=True), *lists))
         ids, lists, room = [], ([], [], [], []), length
 
     for batch in batches:
@@ -124,7 +125,7 @@ def slot_batches(batches: Iterator, size: int, key: int) -> Iterator:
     for batch in batches:
         if batch.num_rows:
             slot = permuted(batch["number"].to_numpy(zero_copy_only=False), size, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *(batch[c] for c in ("ids", *LISTS))], ["slot", "ids", *LISTS])
+            yield pa.RecordBatch.from_arrays([pa.array(slot), *(batch[c] for c in ("zstd", *LISTS))], ["slot", "zstd", *LISTS])
 
 
 def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: str | None = None) -> tuple[DataFrame, int]:
@@ -142,7 +143,7 @@ def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: s
         size += n
     ahead = spark.createDataFrame(first, "file string, ahead long")
     rows = rows.join(F.broadcast(ahead) if len(first) <= FEW_FILES else ahead, "file")
-    rows = rows.select((F.col("ahead") + F.col("row")).alias("number"), "ids", *LISTS)
+    rows = rows.select((F.col("ahead") + F.col("row")).alias("number"), "zstd", *LISTS)
     return rows.mapInArrow(in_tasks("llm.training_order", "slot_batches", size, key), SLOTTED), size
 
 
@@ -151,7 +152,7 @@ def shard_path(root: str, shard: int) -> str:
     return f"{root}/shards/{shard // 1000:06d}/{shard:09d}.bin"
 
 
-def shard_batches(batches: Iterator, base: str, stride: int) -> Iterator:
+def shard_batches(batches: Iterator, base: str, stride: int, record: int) -> Iterator:
     """Writes the shards whose sequences come in, each whole and by ascending slot; gives their index rows."""
     import posixpath
     import uuid
@@ -159,6 +160,7 @@ def shard_batches(batches: Iterator, base: str, stride: int) -> Iterator:
     from pyarrow import fs
 
     store, root = fs.FileSystem.from_uri(base)
+    expand = pa.Codec("zstd").decompress
     out = hidden = shard = None
 
     def close() -> None:
@@ -168,7 +170,7 @@ def shard_batches(batches: Iterator, base: str, stride: int) -> Iterator:
 
     for batch in batches:
         slots = batch["slot"].to_numpy(zero_copy_only=False)
-        ids = batch["ids"]
+        records = batch["zstd"]
         for k, at in enumerate((slots // stride).tolist()):
             if at != shard:
                 close()
@@ -176,7 +178,7 @@ def shard_batches(batches: Iterator, base: str, stride: int) -> Iterator:
                 store.create_dir(folder, recursive=True)
                 hidden = f"{folder}/.{uuid.uuid4().hex}"
                 out = store.open_output_stream(hidden)
-            out.write(ids[k].as_buffer())
+            out.write(expand(records[k].as_buffer(), record))
         yield pa.RecordBatch.from_arrays([batch["slot"], *(batch[c] for c in LISTS)], ["slot", *LISTS])
     close()
 
@@ -186,7 +188,7 @@ def write_order(docs: DataFrame, path: str, key: int = KEY, length: int = LENGTH
     rows, size = slotted(docs, key, length, vocabulary)
     shards = max(1, -(-size // stride))
     dealt = rows.repartitionById(shards, F.expr(f"CAST(slot DIV {stride} AS int)")).sortWithinPartitions("slot")
-    dealt = dealt.mapInArrow(in_tasks("llm.training_order", "shard_batches", path, stride), INDEX)
+    dealt = dealt.mapInArrow(in_tasks("llm.training_order", "shard_batches", path, stride, length * ID_BYTES), INDEX)
     dealt.write.option("compression", "zstd").parquet(f"{path}/index")
     replace_small(path, MANIFEST, json.dumps({"sequences": size, "length": length, "id_bytes": ID_BYTES, "stride": stride, "key": key}))
 
@@ -233,4 +235,5 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_order(table(spark, sf_dir, "documents"), path)
     records = read_order(spark, path).select("slot", "shard", F.crc32("ids").alias("record_crc32"))
     byte_offset = (F.col("slot") % STRIDE * (LENGTH * ID_BYTES) + F.col("offset") * ID_BYTES).alias("byte_offset")
-    return read_index(spark, path).join(records, "slot").select("doc_id", "start", "length", "slot", "shard", byte_offset, "record_crc32")
+    # what leaves Python looks small to the planner: without the hint it would be broadcast at any size
+    return read_index(spark, path).join(records.hint("merge"), "slot").select("doc_id", "start", "length", "slot", "shard", byte_offset, "record_crc32")

@@ -102,9 +102,9 @@ def test_a_task_that_runs_again_writes_the_same(spark, sf_docs):
     rows, size = to.slotted(sf_docs, length=128)
     batch = rows.sort("slot").toArrow().combine_chunks().to_batches()
     read = lambda: {f: open(f, "rb").read() for f in glob.glob(f"{path}/shards/*/*.bin")}  # noqa: E731, SIM115
-    list(to.shard_batches(iter(batch), path, 32))
+    list(to.shard_batches(iter(batch), path, 32, 128 * to.ID_BYTES))
     before = read()
-    list(to.shard_batches(iter(batch), path, 32))
+    list(to.shard_batches(iter(batch), path, 32, 128 * to.ID_BYTES))
     assert read() == before and sum(map(len, before.values())) == size * 128 * to.ID_BYTES
 
 
