@@ -3,13 +3,17 @@
 A fingerprint keeps every hash of a document's 5-word shingles that lies below a fixed share of
 the hash range. Because the share is the same for all documents, fingerprints merge by union, and
 set overlaps, containment between very unequal documents included, are estimated by those of the
-kept hashes. A text with words none of whose hashes lies below keeps its smallest one; a merged
-sketch drops it again if others lie below.
+kept hashes. A text with words none of whose hashes lies below keeps its smallest one as a mark, so
+that equal texts have equal fingerprints and likeness to another such text is a guess from one hash; a
+merged sketch drops the mark again if others lie below. Containment does not read marks: what share of
+such a text another one has cannot be told from the sketches, and is null. A smaller ``scale`` keeps
+more hashes and leaves fewer texts with a mark only.
 
 Words are split at ASCII white space after lower-casing; a text of fewer than five words is one
 shingle. Defined results: null text is empty text; without words the fingerprint is empty; likeness
-of two empty fingerprints is 1, of an empty and another one 0; repeated ids follow each other in
-the order of their texts; a null id comes first; other columns are not read.
+of two empty fingerprints is 1, of an empty and another one 0; an empty one is contained in any; repeated
+ids follow each other in the order of their texts; null ids come first, in that order too; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -19,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from llm.common import table
+from llm.common import stored, table
 
 SHINGLE_WORDS = 5
 #: One hash in so many is kept.
 SCALE = 4
-#: Ids in one block of the walk to the next document; three levels of it.
+#: Ids in one block of the walk to the next document.
 BLOCK = 64
+#: Rows without an id are in blocks by as many bytes of their texts; these come before all blocks of ids.
+FIRST_BYTES, NULL_BLOCKS = 7, -(1 << 58)
 LONG_MIN = -(1 << 63)
 
 
@@ -34,9 +40,14 @@ def _bind(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
+def _limit(scale: int) -> int:
+    """The greatest hash that is kept."""
+    return LONG_MIN + (1 << 64) // scale - 1
+
+
 def _below(hashes: Column, scale: int) -> Column:
     """Hashes below the fixed share, or else the smallest; sorted, each once."""
-    low = F.filter(hashes, lambda x: x <= LONG_MIN + (1 << 64) // scale - 1)
+    low = F.filter(hashes, lambda x: x <= _limit(scale))
     return _bind(low, lambda x: F.when(F.size(x) > 0, F.sort_array(F.array_distinct(x))).otherwise(F.slice(F.array(F.array_min(hashes)), 1, F.least(F.size(hashes), F.lit(1)))))
 
 
@@ -63,9 +74,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of ``a``'s shingles that ``b`` has too."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Estimated share of ``a``'s shingles that ``b`` has too; null if ``a`` has a mark only, and ``b`` another."""
+    share = F.size(F.array_intersect(a, b)) / F.size(a)
+    told = (a[0] <= _limit(scale)) | (a == b)
+    return F.when(F.size(a) == 0, F.lit(1.0)).when(told, share)
 
 
 def as_text(a: Column) -> Column:
@@ -73,27 +86,23 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
+def _block(doc_id: Column, text: Column) -> Column:
+    """Numbers that rise with the id, and for null ids with the text."""
+    first = F.rpad(F.hex(F.substring(text.cast("binary"), 1, FIRST_BYTES)), 2 * FIRST_BYTES, "0")
+    return F.coalesce(F.floor(doc_id / BLOCK).cast("long"), F.conv(first, 16, 10).cast("long") + NULL_BLOCKS)
+
+
 def _next_block(blocks: DataFrame) -> DataFrame:
-    """``block, next_block`` of distinct block numbers, the last with null; blocks of blocks, so
-    that no window holds more than ``BLOCK``, or one in ``BLOCK`` ** 3, of them."""
-    levels = [blocks]
-    for _ in range(2):
-        up = F.floor(F.col("block") / BLOCK).cast("long")
-        levels.append(levels[-1].groupBy(up.alias("up")).agg(F.min("block").alias("block")))
-        levels[-1] = levels[-1].select(F.col("up").alias("block"), F.col("block").alias("head"))
-    top = Window.orderBy("block")
-    after = levels[2].select("block", F.lead("head").over(top).alias("after"))
-    # heads of the middle level, then of the blocks themselves
-    middle = levels[1].withColumn("up", F.floor(F.col("block") / BLOCK).cast("long"))
-    heads = levels[1].select(F.col("block").alias("after"), F.col("head").alias("after_head"))
-    within = Window.partitionBy("up").orderBy("block")
-    middle = middle.withColumn("inner", F.lead("head").over(within))
-    middle = middle.join(after.withColumnRenamed("block", "up"), "up", "left").join(heads, "after", "left")
-    middle = middle.select(F.col("block").alias("up"), F.coalesce("inner", "after_head").alias("after_head"))
-    low = blocks.withColumn("up", F.floor(F.col("block") / BLOCK).cast("long"))
-    low = low.withColumn("inner", F.lead("block").over(Window.partitionBy("up").orderBy("block")))
-    low = low.join(middle, "up", "left")
-    return low.select("block", F.coalesce("inner", "after_head").alias("next_block"))
+    """``block, next_block`` of distinct block numbers; after the last comes the first. Numbers are
+    dealt out by ranges; of each range only the first one travels to the range before."""
+    dealt = stored(blocks.repartitionByRange("block").select("block", F.spark_partition_id().alias("part")), "blocks")
+    heads = dealt.groupBy("part").agg(F.min("block").alias("head"))
+    first = heads.agg(F.min("head")).first()[0]  # one number; null without rows
+    # one row for each range
+    heads = heads.select("part", F.lead("head").over(Window.orderBy("part")).alias("after"))
+    within = Window.partitionBy("part").orderBy("block")
+    inner = dealt.select("part", "block", F.lead("block").over(within).alias("inner"))
+    return inner.join(heads, "part").select("block", F.coalesce("inner", "after", F.lit(first)).alias("next_block"))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -103,37 +112,37 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(following, F.lit(1), cut))
 
 
-def edited_sketches(docs: DataFrame) -> DataFrame:
+def edited_sketches(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, sketch, edited_sketch, next_sketch`` of every row.
 
     Rows meet the next one (ascending id; after the last comes the first) in blocks of ids, at most
     ``BLOCK`` ids each: texts are dealt out by block once, and all that follows reads that exchange.
     The last row of a block gets the first of the next one in a join of such rows only.
     """
-    block = F.coalesce(F.floor(F.col("doc_id").cast("long") / BLOCK).cast("long"), F.lit(LONG_MIN // BLOCK)).alias("block")
+    block = _block(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).alias("block")
     # a long stays as it is: another name for it would keep the branches from sharing the exchange
     doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long").alias("doc_id")
     rows = docs.select(block, doc_id, F.coalesce("text", F.lit("")).alias("text")).repartition("block")
     order = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    inner = rows.withColumn("sketch", sketch(F.col("text"))).select(
+    inner = rows.withColumn("sketch", sketch(F.col("text"), scale)).select(
         "doc_id", "text", "sketch", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")
     )
     inner = inner.where("next_text IS NOT NULL")
     heads = rows.select("block", "text", F.row_number().over(order).alias("place")).where("place = 1")
     heads = heads.select(F.col("block").alias("next_block"), F.col("text").alias("next_text"))
     tails = rows.select("block", "doc_id", "text", F.lead("text").over(order).isNull().alias("last")).where("last")
-    blocks = docs.select(block).distinct()
-    first = blocks.agg(F.min("block")).first()[0]  # one number; null without rows
-    chain = _next_block(blocks).select("block", F.coalesce("next_block", F.lit(first)).alias("next_block"))
-    tails = tails.join(chain, "block").join(heads, "next_block")
-    tails = tails.select("doc_id", "text", sketch(F.col("text")).alias("sketch"), "next_text", sketch(F.col("next_text")).alias("next_sketch"))
+    # apart, so that texts are read for null ids only
+    blocks = docs.where("doc_id IS NOT NULL").select(F.floor(F.col("doc_id").cast("long") / BLOCK).cast("long").alias("block")).distinct()
+    blocks = blocks.union(docs.where("doc_id IS NULL").select(block).distinct())
+    tails = tails.join(_next_block(blocks), "block").join(heads, "next_block")
+    tails = tails.select("doc_id", "text", sketch(F.col("text"), scale).alias("sketch"), "next_text", sketch(F.col("next_text"), scale).alias("next_sketch"))
     both = inner.unionByName(tails).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     return both.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "sketch",
-        sketch(F.col("edited")).alias("edited_sketch"),
+        sketch(F.col("edited"), scale).alias("edited_sketch"),
         "next_sketch",
     )
 

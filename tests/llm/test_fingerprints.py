@@ -59,6 +59,44 @@ def test_merge_is_the_sketch_of_both(spark):
             assert r["both"] == (low or both[:1])
 
 
+def test_short_text_inside_a_long_one(spark):
+    """Containment of a part is 1 or, if nothing of it is kept, unknown; never 0."""
+    rows = [(" ".join(f"a{i}_{k}" for k in range(8)), " ".join(f"a{i}_{k}" for k in range(600)), f"other {i} words that are elsewhere") for i in range(200)]
+    a, b, c = (fingerprints.sketch(F.col(x)) for x in "abc")
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    found = df.select(fingerprints.containment(a, b).alias("part"), fingerprints.containment(a, a).alias("own"), fingerprints.containment(a, c).alias("other")).collect()
+    assert {r["part"] for r in found} == {1.0, None} and sum(r["part"] is None for r in found) < 100
+    assert {r["own"] for r in found} == {1.0}
+    assert {r["other"] for r in found} == {0.0, None}
+
+
+def check_next(rows, found):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = []
+    for k, (i, text) in enumerate(order):
+        after, half = order[(k + 1) % len(order)][1], len(text) // 2
+        want.append((str(i), hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in found) == sorted(want)
+
+
+def test_many_rows_without_an_id(spark):
+    """Their blocks follow the order of texts, whatever bytes these begin with."""
+    texts = [f"{chr(c)}{chr(c)[:k]}{'z' * k}{k}" for k in range(9) for c in (0x20, 0x41, 0x7A, 0xE9, 0x3042, 0x1F642)]
+    rows = [(None, t) for t in texts] + [(None, ""), (-(1 << 63), "least"), (-3, "x"), (4, "y"), (4, "y"), ((1 << 63) - 1, "most")]
+    docs = edge.frame(spark, [(i, t, "en") for i, t in rows]).repartition(5)
+    check_next(rows, fingerprints.edited_sketches(docs).collect())
+
+
+def test_next_block_over_many_ranges(spark):
+    ids = sorted({k * k * 7_919_993 % (1 << 40) for k in range(3000)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = fingerprints._next_block(spark.createDataFrame([(i,) for i in ids], "block long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, found)) == list(zip(ids, [*ids[1:], ids[0]]))
+
+
 def test_edge_rows(edge_docs, no_docs):
     rows = fingerprints.edited_sketches(edge_docs).collect()
     assert len(rows) == edge_docs.count()
