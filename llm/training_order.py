@@ -46,8 +46,10 @@ AT_ONCE = 512
 FEW_FILES = 100_000
 PARTS = "doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, offsets array<bigint>"
 LISTS = ["doc_ids", "starts", "lengths", "offsets"]
-SEQUENCES = f"zstd binary, {PARTS}"
-SLOTTED = f"slot long, {SEQUENCES}"
+#: Stored sequences are compressed by the page of their Parquet file, which sees many; those in a shuffle each by itself.
+SEQUENCES = f"ids binary, {PARTS}"
+SLOTTED = f"slot long, zstd binary, {PARTS}"
+LEVEL = 6
 INDEX = f"slot long, {PARTS}"
 MANIFEST = "order.json"
 
@@ -81,19 +83,18 @@ def permuted(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
 def _sequence_batch(rows: list[tuple]) -> pa.RecordBatch:
     records, *lists = zip(*rows)
     columns = [pa.array(records, pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in lists)]
-    return pa.RecordBatch.from_arrays(columns, ["zstd", *LISTS])
+    return pa.RecordBatch.from_arrays(columns, ["ids", *LISTS])
 
 
 def sequence_batches(batches: Iterator, path: str, length: int, end_id: int) -> Iterator:
-    """``SEQUENCES`` of the documents of one task, run together; a record travels compressed until it is written."""
-    squeeze = pa.Codec("zstd", compression_level=3).compress
+    """``SEQUENCES`` of the documents of one task, run together."""
     encode, end, kind = encoder(path), np.array([end_id], dtype="<u4"), f"<u{ID_BYTES}"
     ids, lists, room, rows = [], ([], [], [], []), length, []
 
     def close() -> None:
         nonlocal ids, lists, room
         ids.append(np.full(room, end_id, dtype=kind))
-        rows.append((squeeze(np.concatenate(ids).tobytes(), asbytes=True), *lists))
+        rows.append((np.concatenate(ids).tobytes(), *lists))
         ids, lists, room = [], ([], [], [], []), length
 
     for batch in batches:
@@ -121,11 +122,13 @@ def sequence_batches(batches: Iterator, path: str, length: int, end_id: int) ->
 
 
 def slot_batches(batches: Iterator, size: int, key: int) -> Iterator:
-    """Numbered sequences with their slots."""
+    """Numbered sequences with their slots, compressed until they are written."""
+    squeeze = pa.Codec("zstd", compression_level=LEVEL).compress
     for batch in batches:
-        if batch.num_rows:
-            slot = permuted(batch["number"].to_numpy(zero_copy_only=False), size, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *(batch[c] for c in ("zstd", *LISTS))], ["slot", "zstd", *LISTS])
+        for part in slices(batch, AT_ONCE):
+            slot = permuted(part["number"].to_numpy(zero_copy_only=False), size, key)
+            records = pa.array([squeeze(r.as_buffer(), asbytes=True) for r in part["ids"]], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(slot), records, *(part[c] for c in LISTS)], ["slot", "zstd", *LISTS])
 
 
 def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: str | None = None) -> tuple[DataFrame, int]:
@@ -134,7 +137,7 @@ def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: s
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     folder = work_folder(spark, "sequences")
     cut = rows.mapInArrow(in_tasks("llm.training_order", "sequence_batches", path, length, END_ID), SEQUENCES)
-    cut.write.option("compression", "zstd").parquet(folder)
+    cut.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": LEVEL}).parquet(folder)
     rows = spark.read.schema(SEQUENCES).parquet(folder)
     rows = rows.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), *rows.columns)
     first, size = [], 0
@@ -143,7 +146,7 @@ def slotted(docs: DataFrame, key: int = KEY, length: int = LENGTH, vocabulary: s
         size += n
     ahead = spark.createDataFrame(first, "file string, ahead long")
     rows = rows.join(F.broadcast(ahead) if len(first) <= FEW_FILES else ahead, "file")
-    rows = rows.select((F.col("ahead") + F.col("row")).alias("number"), "zstd", *LISTS)
+    rows = rows.select((F.col("ahead") + F.col("row")).alias("number"), "ids", *LISTS)
     return rows.mapInArrow(in_tasks("llm.training_order", "slot_batches", size, key), SLOTTED), size
 
 
