@@ -87,9 +87,10 @@ def as_text(a: Column) -> Column:
 
 
 def _block(doc_id: Column, text: Column) -> Column:
-    """Numbers that rise with the id, and for null ids with the text."""
+    """Numbers that rise with the id, and for null ids with the text. The last literal is never reached: it tells
+    the planner that there is no null, so that joins add no filter below the exchange of texts that they share."""
     first = F.rpad(F.hex(F.substring(text.cast("binary"), 1, FIRST_BYTES)), 2 * FIRST_BYTES, "0")
-    return F.coalesce(F.floor(doc_id / BLOCK).cast("long"), F.conv(first, 16, 10).cast("long") + NULL_BLOCKS)
+    return F.coalesce(F.floor(doc_id / BLOCK).cast("long"), F.conv(first, 16, 10).cast("long") + NULL_BLOCKS, F.lit(NULL_BLOCKS))
 
 
 def _next_block(blocks: DataFrame) -> DataFrame:

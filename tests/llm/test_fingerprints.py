@@ -126,6 +126,17 @@ def test_sparse_ids_over_many_blocks(spark):
         assert got[i] == hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
 
 
+def test_texts_are_dealt_out_once(spark, sf_dir):
+    """All three readers of the texts share one exchange."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fingerprints.op2_fingerprints(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shared = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len([line for line in shared if "ReusedExchange" not in line]) == 1
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = fingerprints.op2_fingerprints(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
