@@ -4,6 +4,8 @@ import math
 
 import public_tokenizers
 
+from pyspark.sql import functions as F
+
 from llm import lengths, packing, queries
 
 
@@ -31,3 +33,10 @@ def test_edge_rows(spark, edge_docs, no_docs):
     rows = lengths.context_limits(lengths.length_histogram(edge_docs)).collect()
     check(rows, [r["text"] for r in edge_docs.collect()])
     assert lengths.context_limits(lengths.length_histogram(no_docs)).count() == 0
+
+
+def test_columns_named_like_its_own(edge_docs):
+    names = ["length", "n", "limit", "block", "context_limit", "tokens", "n_docs"]
+    named = edge_docs.drop("n").select("*", *(F.lit("other").alias(c) for c in names))
+    rows = lengths.context_limits(lengths.length_histogram(named)).collect()
+    check(rows, [r["text"] for r in edge_docs.collect()])

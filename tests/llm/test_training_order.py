@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from highmark.session import work_folder
 from llm import queries
@@ -60,6 +61,11 @@ def test_edge_rows(spark, edge_docs):
         check(spark, edge_docs.repartition(parts), 64, 100)
 
 
+def test_columns_named_like_its_own(spark, edge_docs):
+    names = ["slot", "shard", "ids", "zstd", "number", "file", "row", "ahead", "length", "start", "starts", "offset", "_metadata"]
+    check(spark, edge_docs.select("*", *(F.lit("other").alias(c) for c in names)), 64, 16)
+
+
 def test_empty_table(spark, no_docs):
     path, records = check(spark, no_docs, 64, 4)
     assert not records and not glob.glob(f"{path}/shards/*/*")
