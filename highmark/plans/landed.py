@@ -16,7 +16,8 @@ from highmark.operators.planning import FAILED
 from highmark.operators.resolve import as_observations
 from highmark.params import RunParams
 from highmark.schemas import CHUNK_LEDGER
-from highmark.sources.readers import LOADED, read_pages
+from highmark.session import work_folder
+from highmark.sources.readers import LOADED, read_named_pages, read_pages
 
 
 @dataclass
@@ -30,8 +31,23 @@ class PageLoad:
 
 def _rows(raw: DataFrame, taken: DataFrame, keys: list[str], seq: int) -> DataFrame:
     """Definitive rows of the pages in ``taken``."""
-    rows = clean_daily(raw.join(taken.select(*keys), keys, "left_semi"))
-    return as_observations(rows, provisional=False).withColumn("seq", F.lit(seq).cast("bigint"))
+    return _definitive(raw.join(taken.select(*keys), keys, "left_semi"), seq)
+
+
+def _definitive(raw: DataFrame, seq: int) -> DataFrame:
+    return as_observations(clean_daily(raw), provisional=False).withColumn("seq", F.lit(seq).cast("bigint"))
+
+
+def _named(windows: DataFrame) -> DataFrame:
+    """The pages of windows, by the names they land under."""
+    return windows.select(F.col("station_id").alias("station"), F.col("win_start").alias("page_start"))
+
+
+def _stored(outcomes: DataFrame) -> DataFrame:
+    """Outcomes, a few bytes a page, written so that the pages are read for them once."""
+    folder = work_folder(outcomes.sparkSession, "outcomes")
+    outcomes.write.parquet(folder)
+    return outcomes.sparkSession.read.schema(outcomes.schema).parquet(folder)
 
 
 def load_chunks(spark: SparkSession, base: str, chunks: DataFrame, seq: int) -> PageLoad:
@@ -63,16 +79,19 @@ def load_history(
     whose page has not landed interrupts the walk: newer pages are taken, the station stays started, and
     the next run goes on from its series, which begins earlier by then. A station is finished where
     ``empty_stop`` empty windows follow each other, or its windows are used up. ``pages`` has the walked
-    windows. Starts get ``seq`` in the ledger, finishes ``seq + 1``; append the starts before the rows go in.
+    windows. The pages' names follow from the plan: executors open them by name, and no folder is listed. What
+    has landed is looked up once, when this is called. Starts get ``seq`` in the ledger, finishes ``seq + 1``;
+    append the starts before the rows go in.
     """
     if chosen is None:
         targets = planning.history_targets(obs, planning.history_ledger(ledger_log), p, include_complete, include_all)
     else:
         targets = planning.selected_targets(obs, chosen, p)
-    outcomes, raw = read_pages(spark, base, "station")
     keys = ["station_id", "win_start"]
-    named = outcomes.withColumnsRenamed({"station": "station_id", "page_start": "win_start"})
-    seen = planning.half_year_windows(targets, p).join(named, keys, "left")
+    windows = planning.half_year_windows(targets, p)
+    outcomes, _ = read_named_pages(_named(windows), base, "station", "page_start")
+    named = _stored(outcomes).withColumnsRenamed({"station": "station_id", "page_start": "win_start"})
+    seen = windows.join(named, keys, "left")
     # the windows of a station number two a year
     hole = F.min(F.when(F.col("outcome").isNull(), F.col("n"))).over(Window.partitionBy("station_id"))
     seen = seen.withColumn("hole", hole)
@@ -89,5 +108,5 @@ def load_history(
         .select("station_id", "earliest", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     )
     ledger = planning.history_started(targets, F.lit(seq)).unionByName(planning.history_finished(done, F.lit(seq + 1)))
-    taken = pages.filter(F.col("outcome") == LOADED).withColumnsRenamed({"station_id": "station", "win_start": "page_start"})
-    return PageLoad(_rows(raw, taken, ["station", "page_start"], seq), ledger, pages)
+    _, raw = read_named_pages(_named(pages.filter(F.col("outcome") == LOADED)), base, "station", "page_start")
+    return PageLoad(_definitive(raw, seq), ledger, pages)

@@ -83,3 +83,25 @@ def test_only_failed_chunks_come_back(spark, tmp_path):
     assert [r.obs_date.day for r in second.rows.collect()] == [8]
     last = planning.chunks_due(now.unionByName(second.rows.select(obs.columns)), planning.chunk_ledger(log.unionByName(second.ledger)), P)
     assert [(r.chunk_start.day, r.chunk_end.day) for r in last.collect()] == [(23, 27)]
+
+
+def test_history_pages_are_opened_by_name(spark, tmp_path):
+    """The driver knows no page: neither those of the plan nor the many of other stations; odd texts are told as a file reader tells them."""
+    texts = {
+        "1999-07-01": json.dumps([record("a", "1999-08-01")]), "1999-01-01": " \r\n", "1998-07-01": "[null]",
+        "1998-01-01": json.dumps(record("a", "1998-02-01")), "1997-07-01": "\ufeff" + json.dumps([record("a", "1997-08-01")]), "1997-01-01": "",
+    }
+    for station in ("a", "unplanned"):
+        folder = tmp_path / f"station={station}"
+        folder.mkdir()
+        for day, text in texts.items():
+            (folder / f"{day}.json").write_text(text)
+    (tmp_path / "station=a" / "1999-08-01.json").write_bytes(b"\xff")
+    obs = spark.createDataFrame([("a", date(2000, 1, 1), 1.0, None, False), (None, date(2000, 1, 1), 1.0, None, False)], OBS)
+    load = load_history(spark, str(tmp_path), obs, spark.createDataFrame([], HISTORY_LEDGER), P, 1)
+    for table in (load.rows, load.pages, load.ledger):
+        assert not [f for f in table.inputFiles() if f.endswith(".json")]
+    assert sorted((r.win_start.isoformat(), r.outcome, r.n_rows) for r in load.pages.collect()) == [
+        ("1997-07-01", "loaded", 1), ("1998-01-01", "loaded", 1), ("1998-07-01", "failed", 0), ("1999-01-01", "empty", 0), ("1999-07-01", "loaded", 1),
+    ]
+    assert sorted(r.obs_date.isoformat() for r in load.rows.collect()) == ["1997-08-01", "1998-02-01", "1999-08-01"]
