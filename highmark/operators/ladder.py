@@ -43,15 +43,14 @@ def _highest_before(column: str, window: Window) -> Column:
 def _with_segments(days: DataFrame, gap: Column, p: RunParams) -> DataFrame:
     """Number the runs of days that no gap of ``gap_reset_days`` interrupts."""
     opens = F.coalesce((gap >= p.gap_reset_days).cast("int"), F.lit(0))
+    so_far = _by_date("station_id").rowsBetween(*_SO_FAR)
+    # by the order of days that the rows are in, as a window of the segments would sort them once more
+    opened = F.max(F.when(F.col("opens") == 1, F.col("obs_date"))).over(so_far)
+    first = F.min("obs_date").over(Window.partitionBy("station_id"))
     return (
         days.withColumn("opens", opens)
-        .withColumn(
-            "seg_id",
-            F.sum("opens").over(_by_date("station_id").rowsBetween(*_SO_FAR)),
-        )
-        .withColumn(
-            "seg_start", F.min("obs_date").over(Window.partitionBy("station_id", "seg_id"))
-        )
+        .withColumn("seg_id", F.sum("opens").over(so_far))
+        .withColumn("seg_start", F.coalesce(opened, first))
         .withColumn("mature", F.col("obs_date") >= F.date_add("seg_start", p.warmup_days))
     )
 

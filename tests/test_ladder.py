@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -6,9 +7,11 @@ from pyspark.sql import functions as F
 
 import naive
 import standins
+from catalog import queries
 from highmark.operators import ladder
 from highmark.params import RunParams
 from highmark.schemas import EVENT_COLUMNS
+from highmark.session import SETTINGS
 
 P = RunParams(as_of=date(2020, 12, 31))
 SCHEMA = "station_id string, obs_date date, tmax double, tmin double, provisional boolean"
@@ -142,3 +145,23 @@ def test_known_figures(spark, role):
     obs = standins.observations(spark, "/root/testdata/sf0.001", role).filter("obs_date <= '2001-06-30'")
     rows = ladder.record_events(obs, standins.PART).groupBy("kind").agg(F.count("*"), F.count("prev_value"), F.sum("days_since_prev")).collect()
     assert {r[0]: tuple(r)[1:] for r in rows} == EXPECTED[role]
+
+
+def test_days_are_not_sorted_again_for_segments(spark):
+    """Starts follow from the order of days that the other windows use, null days and gaps included."""
+    days = [None, "2000-01-01", "2000-01-02", "2003-01-01", "2003-01-01", "2003-01-05"]
+    obs = spark.createDataFrame([("a", d, 1.0, None, False) for d in days], "station_id string, obs_date string, tmax double, tmin double, provisional boolean")
+    obs = obs.withColumn("obs_date", F.col("obs_date").cast("date"))
+    told = ladder.coverage_segments(obs, RunParams(as_of=date(2010, 1, 1)))
+    assert sorted((str(r.obs_date), r.seg_id, str(r.seg_start)) for r in told.collect()) == [
+        ("2000-01-01", 0, "2000-01-01"), ("2000-01-02", 0, "2000-01-01"), ("2003-01-01", 1, "2003-01-01"),
+        ("2003-01-01", 1, "2003-01-01"), ("2003-01-05", 1, "2003-01-01"), ("None", 0, "2000-01-01"),
+    ]
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"windowspecdefinition\(station_id#[0-9]+, seg_id", plan)
+
+
+def test_jobs_settle_the_size_of_tasks(spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    queries()["record_events"](spark, sf_dir)
+    assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
