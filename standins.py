@@ -197,16 +197,17 @@ def _with_all_measures(obs: DataFrame) -> DataFrame:
 def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day arrives twice as provisional, and each confirmed day twice as definitive."""
     obs = _with_all_measures(observations(spark, sf_dir, "supplier"))
-    confirmed = obs.filter(~F.col("provisional")).withColumn("provisional", F.lit(None).cast("boolean"))
-    newer = confirmed.withColumn("seq", F.lit(2))
-    older = confirmed.withColumns({"seq": F.lit(1), "tmax": F.col("tmax") + 50})
-    arriving = obs.withColumn("provisional", F.lit(True))
-    first = arriving.withColumn("seq", F.lit(3))
-    second = arriving.withColumns(
-        {"seq": F.lit(4), "tmax": F.col("tmax") - 1, "tmin": F.col("tmin") - 1}
+    # one pass over the days: 1 and 2 are definitive, 3 and 4 provisional
+    times = F.when(~F.col("provisional"), F.array(*map(F.lit, (1, 2, 3, 4)))).otherwise(F.array(F.lit(3), F.lit(4)))
+    log = obs.withColumn("seq", F.explode(times))
+    return log.withColumns(
+        {
+            "tmax": F.when(F.col("seq") == 1, F.col("tmax") + 50).when(F.col("seq") == 4, F.col("tmax") - 1).otherwise(F.col("tmax")),
+            "tmin": F.when(F.col("seq") == 4, F.col("tmin") - 1).otherwise(F.col("tmin")),
+            "provisional": F.when(F.col("seq") >= 3, True),
+            "seq": F.col("seq").cast("bigint"),
+        }
     )
-    log = newer.unionByName(older).unionByName(first).unionByName(second)
-    return log.withColumn("seq", F.col("seq").cast("bigint"))
 
 
 def incoming_provisional(spark: SparkSession, sf_dir: str) -> DataFrame:

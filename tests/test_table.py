@@ -1,10 +1,12 @@
 """The keyed table: resolving, merging, purging, stored forms."""
 
 import itertools
+import re
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from highmark.operators import resolve, stats
 from highmark.params import RunParams
@@ -164,3 +166,29 @@ def test_station_map_versions(spark, tmp_path):
 def test_arrival_counts(spark):
     df = spark.createDataFrame([("a", D, 1.0, 1.0), ("a", D, 2.0, 1.0), ("b", D, 1.0, 1.0)], "station_id string, obs_date date, tmax double, tmin double")
     assert tuple(resolve.arrival_counts(df).first()) == (2, 1, 2)
+
+
+def test_resolving_sorts_by_a_number_and_reads_days_once(spark, sf_dir):
+    """Rows are told apart by a number before ids and days; null keys and days before 1970 resolve as all others."""
+    import contextlib
+    import io
+
+    import standins
+
+    log = [
+        (None, None, True, 1, 3.0), (None, None, True, 2, 5.0), ("a", None, False, 1, 1.0), ("a", None, False, 2, 2.0),
+        ("a", date(1931, 5, 2), False, 4, 7.0), ("a", date(1931, 5, 2), True, 9, 8.0), (None, date(1931, 5, 2), True, 1, 6.0),
+    ]
+    rows = resolve.conform(
+        spark.createDataFrame(log, "station_id string, obs_date date, provisional boolean, seq long, tmax double"),
+        StructType([*OBSERVATIONS.fields, StructField("seq", LongType())]),
+    )
+    found = {(r["station_id"], r["obs_date"], r["tmax"], r["provisional"]) for r in resolve.resolve_observations(rows).collect()}
+    assert found == {
+        (None, None, 5.0, True), ("a", None, 2.0, False), ("a", date(1931, 5, 2), 7.0, False), (None, date(1931, 5, 2), 6.0, True)
+    }
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        resolve.resolve_observations(standins.ingest_log(spark, sf_dir)).explain("simple")
+    plan = text.getvalue()
+    assert plan.count("FileScan") == 1
+    assert re.search(r"Sort \[\w+#\d+L ASC", plan)
