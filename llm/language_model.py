@@ -11,8 +11,8 @@ before gets a share of the probability, as large as such words have earned so fa
 score is the log10 probability of it all.
 
 Tables are summed over all training words, from the table of word counts; they have a fixed size
-whatever the corpus. Gate weights are fitted on at most ``FIT_WORDS`` words, each held out of the
-counts by taking its own occurrence away. The base score needs the count of every word: the
+whatever the corpus. Gate weights are fitted on all of these words as often as they occur, each held
+out of the counts by taking its own occurrence away. The base score needs the count of every word: the
 ``HEAD_WORDS`` most frequent go to every task, the others meet their counts in a join.
 
 Defined results: null text is empty text, which is the end mark alone; a repeated row is learnt
@@ -27,6 +27,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +44,16 @@ TABLES = len(ORDERS) + 1
 BITS = (18, 20, 21, 22)
 FIRST = tuple(sum(1 << b for b in BITS[:k]) for k in range(len(BITS)))
 PLACES, BLOCK = sum(1 << b for b in BITS), 1 << 16
-HEAD_WORDS, FIT_WORDS = 1 << 17, 40_000
+HEAD_WORDS = 1 << 17
 WORDS_A_TASK, FAN_IN = 2_000_000, 16
+#: Gate weights begin at, and are drawn weakly to, START; steps end when they promise less than SETTLED of the loss.
+START, TOWARDS, SETTLED, MOST_STEPS = np.array([0.3] * TABLES), 50.0, 1e-3, 12
+PAIRS = [(j, k) for j in range(TABLES) for k in range(j, TABLES)]
+SUMS = ["loss", *(f"slope{k}" for k in range(TABLES)), *(f"bend{j}{k}" for j, k in PAIRS)]
 #: Entries that a worker keeps of what it has worked out; beyond, it starts anew.
 MEMO, COUNTED = 180_000, 300_000
 #: Words whose bits are worked out together.
-WORDS_AT_ONCE = 4096
+WORDS_AT_ONCE = 1024
 #: Log-odds are kept in steps of 1 / STEP; counts up to 255.
 STEP, PRIOR = 16, 0.4
 GATES = 6 * 4
@@ -117,10 +122,14 @@ def bits_of(words: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray, lis
     node = tree.node[step].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     places = []
     for k, context in enumerate(contexts):
-        mixed = ((context * np.uint64(0xA0761D6478BD642F) + np.uint64(k))[byte] ^ node) * np.uint64(0x165667B19E3779F9)
+        mixed = (context * np.uint64(0xA0761D6478BD642F) + np.uint64(k))[byte]
+        mixed ^= node
+        mixed *= np.uint64(0x165667B19E3779F9)
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
-        places.append((mixed >> np.uint64(64 - BITS[k])).astype(np.int64) + FIRST[k])
+        mixed >>= np.uint64(64 - BITS[k])
+        mixed += np.uint64(FIRST[k])
+        places.append(mixed.view(np.int64))
     return of[byte], tree.bit[step], places
 
 
@@ -192,113 +201,168 @@ def odds_batches(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays(columns, ["block", "odds", "seen"])
 
 
+def _fewer() -> np.ndarray:
+    """By log-odds of the bit that came, in steps from -127, and by count: the log-odds with one such bit less."""
+    odds = np.arange(-127, 128, dtype=np.float64)[:, None] / STEP
+    n = np.arange(256, dtype=np.float64)[None, :]
+    share = 1 / (1 + np.exp(-odds)) * (n + 2 * PRIOR) - PRIOR
+    fewer = np.log(np.maximum(share - 1, 0) + PRIOR) - np.log(np.maximum(n - share, 0) + PRIOR)
+    return np.where(n < 255, fewer, odds).astype(np.float32)
+
+
+FEWER = _fewer()
+
+
 class Model:
     def __init__(self, tree: Tree, odds: np.ndarray, seen: np.ndarray):
         self.tree, self.odds, self.seen = tree, odds, seen
-        self.weights = np.full((GATES, TABLES), 0.3, dtype=np.float32)
+        self.weights = np.tile(START, (GATES, 1)).astype(np.float32)
 
     def inputs(self, words: list[bytes], own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all bits of spelled words: the word's number, the predictors' log-odds of the bit that
         came, and the gate. ``own``: one occurrence of each word taken out of the counts."""
         of, bit, places = bits_of(words, self.tree)
-        sign = np.where(bit, 1, -1).astype(np.float32)
+        sign = np.where(bit, 1, -1).astype(np.int8)
         x = np.empty((len(bit), TABLES), dtype=np.float32)
         seen = []
         for k, place in enumerate(places):
-            odds, n = self.odds[place] * sign / STEP, self.seen[place].astype(np.float32)
+            odds, n = self.odds[place] * sign, self.seen[place]
             if own:
-                share = 1 / (1 + np.exp(-odds)) * (n + 2 * PRIOR) - PRIOR  # of the bit that came
-                fewer = np.log(np.maximum(share - 1, 0) + PRIOR) - np.log(np.maximum(n - share, 0) + PRIOR)
-                odds = np.where(n < 255, fewer, odds)
-                n = np.maximum(n - 1, 0)
+                odds = FEWER[odds.astype(np.int64) + 127, n]
+                n = np.maximum(n, 1) - np.uint8(1)
+            else:
+                odds = odds.astype(np.float32) / STEP
             x[:, k] = odds
             seen.append(n)
-        return of, x, WHOLE_GATE[seen[-1].astype(np.int64)] * 4 + FIVE_GATE[seen[-2].astype(np.int64)]
-
-    def fit(self, words: list[bytes], weight: np.ndarray, epochs: int = 6, seed: int = 1) -> Model:
-        """Gate weights by gradient steps over words drawn by ``weight``."""
-        rng = np.random.default_rng(seed)
-        order = rng.choice(len(words), size=min(200_000, 5 * len(words)), p=weight / weight.sum())
-        squares = np.full((GATES, TABLES), 1e-3, dtype=np.float64)
-        for at in range(0, len(order), 500):
-            _, x, gate = self.inputs(spelled([words[i] for i in order[at : at + 500]]), own=True)
-            miss = 1 / (1 + np.exp(np.clip((x * self.weights[gate]).sum(1), -30, 30)))
-            slope = np.stack([np.bincount(gate, miss * x[:, k], minlength=GATES) for k in range(TABLES)], 1)
-            slope /= np.bincount(gate, minlength=GATES)[:, None] + 50
-            squares += slope**2
-            self.weights += (0.05 * slope / np.sqrt(squares)).astype(np.float32)
-        return self
+        return of, x, WHOLE_GATE[seen[-1]] * 4 + FIVE_GATE[seen[-2]]
+
+    def slopes(self, words: list[bytes], n: np.ndarray) -> np.ndarray:
+        """Of each gate's weights over words that occur ``n`` times: loss in nats, its slope and its curvature (``SUMS``)."""
+        of, x, gate = self.inputs(spelled(words), own=True)
+        order = np.argsort(gate.astype(np.uint8), kind="stable")
+        x, n, ends = x[order], n[of[order]].astype(np.float32), np.cumsum(np.bincount(gate, minlength=GATES))
+        out = np.zeros((GATES, len(SUMS)))
+        for g in np.flatnonzero(np.diff(ends, prepend=0)):
+            at = slice(ends[g - 1] if g else 0, ends[g])
+            mix = x[at] @ self.weights[g]
+            fall = np.exp(np.clip(-mix, -60, 60))
+            down = n[at] * (fall / (1 + fall))
+            bend = (x[at] * (down / (1 + fall))[:, None]).T @ x[at]
+            out[g] = [n[at] @ np.log1p(fall), *(down @ x[at]), *(bend[j, k] for j, k in PAIRS)]
+        return out
 
     def records(self, words: list[bytes]) -> list[bytes]:
         """For each word, its bits' log-odds and their mix, packed (``RECORD``)."""
         of, bit, places = bits_of(spelled(words), self.tree)
         sign = np.where(bit, 1, -1).astype(np.int8)
-        out = np.empty(len(of), dtype=RECORD)
+        x = np.empty((len(of), TABLES), dtype=np.int8)
         for k, place in enumerate(places):
-            out["x"][:, k] = self.odds[place] * sign
+            x[:, k] = self.odds[place] * sign
         gate = WHOLE_GATE[self.seen[places[-1]]] * 4 + FIVE_GATE[self.seen[places[-2]]]
-        out["mix"] = np.einsum("ij,ij->i", out["x"].astype(np.float32), self.weights[gate]) / STEP
+        out = np.empty(len(of), dtype=RECORD)
+        out["x"] = x
+        out["mix"] = np.einsum("ij,ij->i", x.astype(np.float32), self.weights[gate]) / STEP
         packed, size = out.tobytes(), RECORD.itemsize
         ends = (np.cumsum(np.bincount(of, minlength=len(words))) * size).tolist()
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
-RECORD = np.dtype([("x", np.int8, TABLES), ("mix", np.float16)])
+#: Two numbers of four bytes, so that either is taken out of many records at once.
+RECORD = np.dtype([("x", np.int8, TABLES), ("mix", np.float32)])
+#: What a repeated pair begins with by how long repeats have gone on: successes and trials.
+GOOD, TRIED = np.array([0.1, 0.8, 1.6, 2.4]), np.array([1.0, 1.2, 2.0, 2.6])
+
+
+def repeats(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text of numbered words, where the two words before came together earlier: the position, whether
+    the word that followed then comes again, and for how many words that has gone on (up to 3)."""
+    # 0 before the text
+    before = np.concatenate([[0, 0], ids + 1])
+    pair = before[:-2] * (before.max() + 1) + before[1:-1]
+    order = np.argsort(pair, kind="stable")
+    same = pair[order[1:]] == pair[order[:-1]]
+    last = np.full(len(ids), -1)
+    last[order[1:][same]] = order[:-1][same]
+    at = np.flatnonzero(last >= 0)
+    again = np.zeros(len(ids) + 3, dtype=np.int64)
+    again[at + 3] = ids[at] == ids[last[at]]
+    one = again[2:-1]
+    two = one * again[1:-2]
+    return at, again[at + 3], (one + two + two * again[:-3])[at]
+
+
+def shares(hit: np.ndarray, going: np.ndarray) -> np.ndarray:
+    """The share of each repeated pair: successes over trials of those before it that had gone on for as long."""
+    out = np.empty(len(hit))
+    for k in range(len(GOOD)):
+        mine = np.flatnonzero(going == k)
+        came = hit[mine]
+        out[mine] = (GOOD[k] + np.cumsum(came) - came) / (TRIED[k] + np.arange(len(mine)))
+    return out
 
 
-def repeats(words: list[bytes]) -> tuple[list[int], list[bool], list[int]]:
-    """Where the two words before came together earlier in the text: the position, whether the
-    word that followed then comes again, and for how many words that has gone on (up to 3)."""
-    at, hit, run = [], [], []
-    last: dict[tuple, bytes] = {}
-    one = two = None
-    going = 0
-    for i, word in enumerate(words):
-        pair = (one, two)
-        told = last.get(pair)
-        if told is None:
-            going = 0
-        else:
-            at.append(i)
-            hit.append(told == word)
-            run.append(going)
-            going = min(going + 1, 3) if told == word else 0
-        last[pair] = word
-        one, two = two, word
-    return at, hit, run
+def log10_probability(words: list[bytes], records: list[bytes]) -> float:
+    """Of a document's words, the end mark included, with their packed bits."""
+    distinct = dict.fromkeys(words)
+    number = dict(zip(distinct, range(len(distinct))))
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return numbered_probability(ids, b"".join(records), np.fromiter(map(len, records), np.int64, len(records)))
 
 
-def log10_probability(words: list[bytes], records: list[bytes]) -> float:
-    """Of a document's words, the end mark included, with their packed bits.
+def numbered_probability(ids: np.ndarray, packed: bytes, lengths: np.ndarray) -> float:
+    """The same of numbered words, their records run together, and the lengths of these.
 
     Weights are corrected after each run of bits. What followed an earlier occurrence of the last
     two words gets a share of the probability that follows its success in this document so far.
     """
-    bits = np.frombuffer(b"".join(records), dtype=RECORD)
-    change, falls = np.zeros(TABLES, dtype=np.float32), []
-    for start in range(0, len(bits), RUN):
-        run = bits[start : start + RUN]
-        x = run["x"].astype(np.float32)
-        fall = np.exp(-np.maximum(run["mix"] + x @ change, np.float32(-60)))
-        falls.append(np.log1p(fall))
-        change = change + np.float32(RATE / STEP**2 / np.sqrt(len(run))) * ((fall / (1 + fall)) @ x)
-    at, hit, going = repeats(words)
-    cost = np.concatenate(falls).astype(np.float64)
-    if not at:
-        return -float(cost.sum()) / LN10
-    sizes = np.fromiter(map(len, records), np.int64, len(records)) // RECORD.itemsize
-    each = np.add.reduceat(cost, np.cumsum(sizes) - sizes)
-    total = float(each.sum())
-    good, all_ = [0.1, 0.8, 1.6, 2.4], [1.0, 1.2, 2.0, 2.6]
-    for own, came, k in zip(each[at].tolist(), hit, going):
-        share = good[k] / all_[k]
-        total += (-math.log(share + (1 - share) * math.exp(-own)) if came else own - math.log(1 - share)) - own
-        good[k] += came
-        all_[k] += 1
-    return -total / LN10
-
-
-_memo: dict[int, dict] = {}
+    both = np.frombuffer(packed, dtype=np.int32).reshape(-1, 2)
+    xs = both[:, 0].copy().view(np.int8).reshape(-1, TABLES)
+    falls = both[:, 1].copy().view(np.float32)
+    change = None
+    for start in range(0, len(falls), RUN):
+        fall = falls[start : start + RUN]
+        more = start + RUN < len(falls)
+        x = xs[start : start + RUN].astype(np.float32) if more or change is not None else None
+        if change is not None:
+            fall += x @ change
+        if fall.min() < -60:
+            np.maximum(fall, np.float32(-60), out=fall)
+        np.exp(np.negative(fall, out=fall), out=fall)
+        whole = fall + np.float32(1)
+        if more:
+            fall /= whole
+            step = np.float32(RATE / STEP**2 / np.sqrt(len(fall))) * (fall @ x)
+            change = step if change is None else change + step
+        np.log(whole, out=fall)
+    each = np.add.reduceat(falls, (np.cumsum(lengths) - lengths) // RECORD.itemsize).astype(np.float64)
+    at, hit, going = repeats(ids)
+    if len(at):
+        share, own = shares(hit, going), each[at]
+        miss = 1 - share
+        each[at] = np.where(hit, -np.log(share + miss * np.exp(-own)), own - np.log(miss))
+    return -float(each.sum()) / LN10
+
+
+class Known:
+    """Words that a worker has worked out: their numbers, and by number the records, these' lengths and the head's logarithms."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.records: list[bytes] = []
+        self.lengths = np.zeros(0, np.int64)
+        self.logs = np.zeros(0)
+
+    def add(self, words: list[bytes], model: Model, head: dict[bytes, float]) -> None:
+        found = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            found += model.records(words[at : at + WORDS_AT_ONCE])
+        self.numbers.update(zip(words, range(len(self.records), len(self.records) + len(words))))
+        self.records += found
+        self.lengths = np.append(self.lengths, np.fromiter(map(len, found), np.int64, len(found)))
+        self.logs = np.append(self.logs, np.array([head.get(w, np.nan) for w in words], dtype=np.float64))
+
+
+_memo: dict[int, Known] = {}
 
 
 def score_batches(batches: Iterator, model: Model, head: dict[bytes, float], stamp: int) -> Iterator:
@@ -308,26 +372,29 @@ def score_batches(batches: Iterator, model: Model, head: dict[bytes, float], sta
     key = TaskContext.get().partitionId() << 40
     for old in [k for k in _memo if k != stamp]:
         del _memo[old]
-    memo = _memo.setdefault(stamp, {})
+    known = _memo.setdefault(stamp, Known())
     for batch in batches:
         for part in slices(batch, 128):
-            texts = [words_of(t) for t in part["text"].to_pylist()]
-            unknown = set().union(*texts, [END]).difference(memo)
-            if len(memo) > MEMO:
-                memo.clear()
-                unknown = set().union(*texts, [END])
-            unknown = list(unknown)
-            for at in range(0, len(unknown), WORDS_AT_ONCE):
-                some = unknown[at : at + WORDS_AT_ONCE]
-                memo.update(zip(some, model.records(some)))
-            rows = []
-            for words in texts:
-                known = list(map(head.get, words))
-                tail = [w for w, c in zip(words, known) if c is None] if None in known else []
-                total = sum(filter(None, known))
-                told = [*words, END]
-                score = log10_probability(told, list(map(memo.__getitem__, told)))
-                rows.append((key, len(words) + 1, len(words) - len(tail), float(total), score, tail))
+            texts = [[*words_of(t), END] for t in part["text"].to_pylist()]
+            words = list(chain.from_iterable(texts))
+            numbers = list(map(known.numbers.get, words))
+            if None in numbers:
+                if len(known.numbers) > MEMO:
+                    known = _memo[stamp] = Known()
+                known.add(list(set(words).difference(known.numbers)), model, head)
+                numbers = list(map(known.numbers.__getitem__, words))
+            ids = np.array(numbers, dtype=np.int64)
+            lengths, logs = known.lengths[ids], known.logs[ids]
+            rows, end = [], 0
+            for told in texts:
+                start, end = end, end + len(told)
+                packed = b"".join(map(known.records.__getitem__, numbers[start:end]))
+                score = numbered_probability(ids[start:end], packed, lengths[start:end])
+                # the end mark is counted apart
+                mine = logs[start : end - 1]
+                absent = np.flatnonzero(np.isnan(mine))
+                tail = [told[i] for i in absent]
+                rows.append((key, len(told), len(mine) - len(tail), float(np.nansum(mine)), score, tail))
                 key += 1
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
@@ -361,12 +428,49 @@ def fit_model(counts: DataFrame) -> Model:
         at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
         odds[at], seen[at] = np.frombuffer(row["odds"], np.int8), np.frombuffer(row["seen"], np.uint8)
     model = Model(tree, odds, seen)
-    if rows:
-        # words drawn evenly, so that rare ones are among them, weighted by their counts
-        share = min(1.0, FIT_WORDS / rows)
-        drawn = counts.where(F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * FIT_WORDS).collect()
-        drawn = sorted((bytes(r["word"]), r["n"]) for r in drawn) or [(END, 1)]
-        model.fit([w for w, _ in drawn], np.array([n for _, n in drawn], dtype=np.float64))
+    return fit_gates(model, counts) if rows else model
+
+
+def slope_batches(batches: Iterator, model: Model) -> Iterator:
+    """Sums of ``Model.slopes`` over all words of a task."""
+    total = np.zeros((GATES, len(SUMS)))
+    for batch in batches:
+        for part in slices(batch, WORDS_AT_ONCE):
+            total += model.slopes(part["word"].to_pylist(), np.array(part["n"].to_pylist(), dtype=np.float64))
+    yield pa.RecordBatch.from_arrays([pa.array(range(GATES), pa.int32()), *map(pa.array, total.T)], ["gate", *SUMS])
+
+
+def fit_gates(model: Model, counts: DataFrame) -> Model:
+    """Gate weights by Newton's steps, each over every word as often as it occurs.
+
+    A gate has weights of its own, so each is fitted alone; a step that made its loss rise is halved. The
+    driver sees the sums of each gate, a fixed number of them.
+    """
+    kind = ", ".join(["gate int", *(f"{name} double" for name in SUMS)])
+    best = np.full(GATES, np.inf)
+    good = model.weights.copy()
+    for _ in range(MOST_STEPS):
+        sums = np.zeros((GATES, len(SUMS)))
+        found = counts.mapInArrow(in_tasks("llm.language_model", "slope_batches", model), kind)
+        for row in found.groupBy("gate").agg(*(F.sum(name).alias(name) for name in SUMS)).collect():
+            sums[row["gate"]] = [row[name] for name in SUMS]
+        weights = model.weights.astype(np.float64)
+        loss = sums[:, 0] + TOWARDS / 2 * ((weights - START) ** 2).sum(1)
+        # sums differ a little by their order
+        nearer = loss <= best * (1 + 1e-5)
+        bend = np.zeros((GATES, TABLES, TABLES))
+        for i, (j, k) in enumerate(PAIRS):
+            bend[:, j, k] = bend[:, k, j] = sums[:, 1 + TABLES + i]
+        slope = sums[:, 1 : 1 + TABLES] - TOWARDS * (weights - START)
+        step = np.linalg.solve(bend + TOWARDS * np.eye(TABLES), slope[:, :, None])[:, :, 0]
+        after = np.where(nearer[:, None], weights + step, (weights + good) / 2).astype(np.float32)
+        good[nearer], best = model.weights[nearer], np.minimum(loss, best)
+        # seldom used gates need not settle as closely as others; the last step still counts
+        gain = np.where(nearer, (step * slope).sum(1) / 2, 0).sum()
+        settled = nearer.all() and gain < SETTLED * loss.sum()
+        model.weights = after
+        if settled:
+            break
     return model
 
 

@@ -180,3 +180,47 @@ def test_scores_by_brute_force(spark, sf_docs, monkeypatch):
     for i, told in words.items():
         want = plain.score(told, model.weights, 48)
         assert abs(lm.log10_probability(told, model.records(told)) - want) < 1e-3 * abs(want) + 1e-3
+
+
+def test_gates_are_fitted_on_all_words(spark, monkeypatch):
+    """Sums of slopes against a loop over bits; weights settle where every word, as often as it occurs, puts them."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 4, rng.integers(1, 5))) for _ in range(60)) for _ in range(12)]
+    counts = stored(lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)), "counts")
+    told = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    monkeypatch.setattr(lm, "SETTLED", 1e-9)
+    model = lm.fit_model(counts)
+    loss, slope = np.zeros(lm.GATES), np.zeros((lm.GATES, lm.TABLES))
+    for word, n in told.items():
+        _, x, gates = model.inputs(lm.spelled([word]), own=True)
+        for row, g in zip(x.astype(float), gates):
+            mix = float(row @ model.weights[g].astype(float))
+            loss[g] += n * math.log1p(math.exp(-mix))
+            slope[g] += n * row / (1 + math.exp(mix))
+    words = sorted(told)
+    sums = model.slopes(words, np.array([told[w] for w in words], dtype=float))
+    assert np.allclose(sums[:, 0], loss, rtol=1e-4) and np.allclose(sums[:, 1 : 1 + lm.TABLES], slope, rtol=1e-3, atol=1e-2)
+    assert loss.sum() > 0
+    # no word is left out of the sums that the weights settle on
+    assert np.abs(slope - lm.TOWARDS * (model.weights - lm.START)).max() < 1e-3 * sum(told.values())
+    part = model.slopes(words[::2], np.array([told[w] for w in words[::2]], dtype=float))[:, 1 : 1 + lm.TABLES]
+    assert np.abs(part - lm.TOWARDS * (model.weights - lm.START)).max() > 1e-3 * sum(told.values())
+
+
+def test_repeats_against_a_loop():
+    rng = np.random.default_rng(8)
+    for size, kinds in ((1, 1), (2, 1), (40, 1), (300, 4), (300, 60)):
+        ids = rng.integers(0, kinds, size)
+        if size == 300:
+            ids[150:250] = ids[20:120]
+        want, last, one, two, going = [], {}, None, None, 0
+        for i, word in enumerate(ids.tolist()):
+            before = last.get((one, two))
+            if before is None:
+                going = 0
+            else:
+                want.append((i, before == word, going))
+                going = min(going + 1, 3) if before == word else 0
+            last[one, two] = word
+            one, two = two, word
+        assert [(a, bool(b), c) for a, b, c in zip(*(v.tolist() for v in lm.repeats(ids)))] == want
