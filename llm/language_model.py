@@ -27,10 +27,11 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ PAIRS = [(j, k) for j in range(TABLES) for k in range(j, TABLES)]
 SUMS = ["loss", *(f"slope{k}" for k in range(TABLES)), *(f"bend{j}{k}" for j, k in PAIRS)]
 #: Entries that a worker keeps of what it has worked out; beyond, it starts anew.
 MEMO, COUNTED = 180_000, 300_000
-#: Words whose bits are worked out together.
-WORDS_AT_ONCE = 1024
+#: Words whose bits are worked out together, and the bytes at their beginning that are looked at for being shared.
+WORDS_AT_ONCE, SHARED = 1024, 32
 #: Log-odds are kept in steps of 1 / STEP; counts up to 255.
 STEP, PRIOR = 16, 0.4
 GATES = 6 * 4
@@ -96,18 +97,18 @@ def spelled(words: list[bytes]) -> list[bytes]:
     return [w if w == END else w + b" " for w in words]
 
 
-def bits_of(words: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of all bits of spelled words: the word's number, the bit, and its place for each predictor."""
+def contexts_of(words: list[bytes], chosen: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of all bytes of spelled words, or those at ``chosen``: the byte, and a hash of its context for each predictor."""
     data = np.frombuffer(b"".join(words), dtype=np.uint8)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    of = np.repeat(np.arange(len(words)), lengths)
-    first = (np.cumsum(lengths) - lengths)[of]
-    within = np.arange(len(data)) - first
+    at = np.arange(len(data)) if chosen is None else chosen
+    first = np.repeat(np.cumsum(lengths) - lengths, lengths)[at]
+    within = at - first
     value = data.astype(np.uint64) + np.uint64(1)
-    contexts, window = [], np.zeros(len(data), dtype=np.uint64)
+    contexts, window = [], np.zeros(len(at), dtype=np.uint64)
     for back in range(1, max(ORDERS) + 1):
         # 0 before the word's start
-        earlier = np.where(within >= back, value[np.maximum(np.arange(len(data)) - back, 0)], np.uint64(0))
+        earlier = np.where(within >= back, value[np.maximum(at - back, 0)], np.uint64(0))
         window = (window + earlier) * _P
         window ^= window >> np.uint64(29)
         if back in ORDERS:
@@ -115,10 +116,15 @@ def bits_of(words: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray, lis
     powers = np.cumprod(np.full(len(data), _P))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(value * powers)])
     inverse = np.cumprod(np.full(len(data), _P_INVERSE))
-    contexts.append((sums[np.arange(len(data))] - sums[first]) * inverse[first] + within.astype(np.uint64))
+    contexts.append((sums[at] - sums[first]) * inverse[first] + within.astype(np.uint64))
+    return data[at], contexts
+
+
+def places_of(data: np.ndarray, contexts: list[np.ndarray], tree: Tree) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of all bits of bytes in their contexts: the byte's number, the bit, and its place for each predictor."""
     size = tree.length[data]
     byte = np.repeat(np.arange(len(data)), size)
-    step = tree.start[data][byte] + np.arange(len(byte)) - np.repeat(np.cumsum(size) - size, size)
+    step = np.repeat(tree.start[data] - np.cumsum(size) + size, size) + np.arange(len(byte))
     node = tree.node[step].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     places = []
     for k, context in enumerate(contexts):
@@ -130,7 +136,56 @@ def bits_of(words: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray, lis
         mixed >>= np.uint64(64 - BITS[k])
         mixed += np.uint64(FIRST[k])
         places.append(mixed.view(np.int64))
-    return of[byte], tree.bit[step], places
+    return byte, tree.bit[step], places
+
+
+def bits_of(words: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of all bits of spelled words: the word's number, the bit, and its place for each predictor."""
+    byte, bit, places = places_of(*contexts_of(words), tree)
+    return np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))[byte], bit, places
+
+
+def first_alike(words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """For each byte of the words: where the byte stands that ends the same beginning of a word, in the first of
+    the words before that follow each other and all have it. Sorted words share most."""
+    width = min(int(lengths.max()), SHARED)
+    begin = np.array(words, dtype=f"S{width}").view(np.uint8).reshape(-1, width)
+    same = np.zeros(begin.shape, dtype=bool)
+    np.equal(begin[1:], begin[:-1], out=same[1:])
+    # shorter words are filled up with zeros, which longer ones may really have
+    same[1:] &= np.arange(width) < np.minimum(lengths[1:], lengths[:-1])[:, None]
+    same = np.logical_and.accumulate(same, axis=1)
+    word = np.maximum.accumulate(np.where(same, 0, np.arange(len(words))[:, None]), axis=0)
+    start = np.cumsum(lengths) - lengths
+    of = np.repeat(np.arange(len(words)), lengths)
+    at = np.arange(len(of))
+    within = at - start[of]
+    near = np.flatnonzero(within < width)
+    at[near] = start[word[of[near], within[near]]] + within[near]
+    return at
+
+
+class Spelled:
+    """The bits of spelled words, those of bytes up to which words begin alike only once.
+
+    ``byte`` is the number of each bit's byte among those that are kept, ``bit`` and ``places`` are as
+    ``bits_of`` has them; ``like`` leads from the bytes of all words to the kept ones.
+    """
+
+    def __init__(self, words: list[bytes], tree: Tree):
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+        like = first_alike(words, self.lengths)
+        fresh = like == np.arange(len(like))
+        data, contexts = contexts_of(words, np.flatnonzero(fresh))
+        self.byte, self.bit, self.places = places_of(data, contexts, tree)
+        self.like = (np.cumsum(fresh) - 1)[like]
+        self.size = tree.length[data]
+
+    def all_bits(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of all words, where each bit stands among the kept ones, and where the bits of each word end."""
+        sizes, begin = self.size[self.like], (np.cumsum(self.size) - self.size)[self.like]
+        past = np.cumsum(sizes)
+        return np.repeat(begin - past + sizes, sizes) + np.arange(past[-1]), past[np.cumsum(self.lengths) - 1]
 
 
 def count_batches(batches: Iterator) -> Iterator:
@@ -169,14 +224,15 @@ def table_batches(batches: Iterator, tree: Tree) -> Iterator:
     from pyspark import TaskContext
 
     seen = np.zeros((2, PLACES), dtype=np.float32)
+    flat = seen.reshape(-1)
     for batch in batches:
-        for part in slices(batch, WORDS_AT_ONCE):
-            n = np.array(part["n"].to_pylist(), dtype=np.float32)
-            of, bit, places = bits_of(spelled(part["word"].to_pylist()), tree)
-            weight = n[of]
-            for place in places:
-                for b in (0, 1):
-                    np.add.at(seen[b], place[bit == b], weight[bit == b])
+        for part in slices(batch.take(pc.sort_indices(batch["word"])), WORDS_AT_ONCE):
+            told = Spelled(spelled(part["word"].to_pylist()), tree)
+            n = np.array(part["n"].to_pylist(), dtype=np.float64)
+            weight = np.bincount(told.like, np.repeat(n, told.lengths)).astype(np.float32)[told.byte]
+            ones = told.bit * PLACES
+            for place in told.places:
+                np.add.at(flat, place + ones, weight)
     task = TaskContext.get().partitionId()
     for block in range(PLACES // BLOCK):
         counts = seen[:, block * BLOCK : (block + 1) * BLOCK]
@@ -214,25 +270,39 @@ FEWER = _fewer()
 
 
 class Model:
+    """The tree, the tables (log-odds and counts side by side, so that one look finds both) and the gate weights."""
+
     def __init__(self, tree: Tree, odds: np.ndarray, seen: np.ndarray):
-        self.tree, self.odds, self.seen = tree, odds, seen
+        self.tree, self.told = tree, np.stack([odds.view(np.uint8), seen], axis=1)
         self.weights = np.tile(START, (GATES, 1)).astype(np.float32)
 
+    @property
+    def odds(self) -> np.ndarray:
+        return self.told[:, 0].view(np.int8)
+
+    @property
+    def seen(self) -> np.ndarray:
+        return self.told[:, 1]
+
+    def look(self, places: list[np.ndarray], bit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each predictor the log-odds of the bit that came, in steps, and the count."""
+        sign, both = np.where(bit, np.int8(1), np.int8(-1)), self.told.view(np.uint16)[:, 0]
+        for place in places:
+            found = both[place].view(np.uint8).reshape(-1, 2)
+            yield found[:, 0].view(np.int8) * sign, found[:, 1]
+
     def inputs(self, words: list[bytes], own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all bits of spelled words: the word's number, the predictors' log-odds of the bit that
         came, and the gate. ``own``: one occurrence of each word taken out of the counts."""
         of, bit, places = bits_of(words, self.tree)
-        sign = np.where(bit, 1, -1).astype(np.int8)
         x = np.empty((len(bit), TABLES), dtype=np.float32)
         seen = []
-        for k, place in enumerate(places):
-            odds, n = self.odds[place] * sign, self.seen[place]
+        for k, (odds, n) in enumerate(self.look(places, bit)):
             if own:
-                odds = FEWER[odds.astype(np.int64) + 127, n]
+                x[:, k] = FEWER.reshape(-1)[(odds.astype(np.int32) + 127) * 256 + n]
                 n = np.maximum(n, 1) - np.uint8(1)
             else:
-                odds = odds.astype(np.float32) / STEP
-            x[:, k] = odds
+                x[:, k] = odds.astype(np.float32) / STEP
             seen.append(n)
         return of, x, WHOLE_GATE[seen[-1]] * 4 + FIVE_GATE[seen[-2]]
 
@@ -253,17 +323,18 @@ class Model:
 
     def records(self, words: list[bytes]) -> list[bytes]:
         """For each word, its bits' log-odds and their mix, packed (``RECORD``)."""
-        of, bit, places = bits_of(spelled(words), self.tree)
-        sign = np.where(bit, 1, -1).astype(np.int8)
-        x = np.empty((len(of), TABLES), dtype=np.int8)
-        for k, place in enumerate(places):
-            x[:, k] = self.odds[place] * sign
-        gate = WHOLE_GATE[self.seen[places[-1]]] * 4 + FIVE_GATE[self.seen[places[-2]]]
-        out = np.empty(len(of), dtype=RECORD)
+        told = Spelled(spelled(words), self.tree)
+        x = np.empty((len(told.bit), TABLES), dtype=np.int8)
+        seen = []
+        for k, (odds, n) in enumerate(self.look(told.places, told.bit)):
+            x[:, k] = odds
+            seen.append(n)
+        gate = WHOLE_GATE[seen[-1]] * 4 + FIVE_GATE[seen[-2]]
+        out = np.empty(len(x), dtype=RECORD)
         out["x"] = x
         out["mix"] = np.einsum("ij,ij->i", x.astype(np.float32), self.weights[gate]) / STEP
-        packed, size = out.tobytes(), RECORD.itemsize
-        ends = (np.cumsum(np.bincount(of, minlength=len(words))) * size).tolist()
+        bits, ends = told.all_bits()
+        packed, ends = out.view(np.int64)[bits].tobytes(), (ends * RECORD.itemsize).tolist()
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -278,9 +349,17 @@ def repeats(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     the word that followed then comes again, and for how many words that has gone on (up to 3)."""
     # 0 before the text
     before = np.concatenate([[0, 0], ids + 1])
-    pair = before[:-2] * (before.max() + 1) + before[1:-1]
-    order = np.argsort(pair, kind="stable")
-    same = pair[order[1:]] == pair[order[:-1]]
+    kinds, shift = int(before.max()) + 1, len(ids).bit_length()
+    pair = before[:-2] * kinds + before[1:-1]
+    if kinds * kinds << shift < 1 << 63:
+        # numbers that hold their positions sort faster than positions by numbers
+        pair = np.sort(pair << shift | np.arange(len(ids)))
+        order = pair & (1 << shift) - 1
+        pair >>= shift
+    else:
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+    same = pair[1:] == pair[:-1]
     last = np.full(len(ids), -1)
     last[order[1:][same]] = order[:-1][same]
     at = np.flatnonzero(last >= 0)
@@ -293,11 +372,13 @@ def repeats(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def shares(hit: np.ndarray, going: np.ndarray) -> np.ndarray:
     """The share of each repeated pair: successes over trials of those before it that had gone on for as long."""
-    out = np.empty(len(hit))
-    for k in range(len(GOOD)):
-        mine = np.flatnonzero(going == k)
-        came = hit[mine]
-        out[mine] = (GOOD[k] + np.cumsum(came) - came) / (TRIED[k] + np.arange(len(mine)))
+    order = np.argsort(going.astype(np.uint8), kind="stable")
+    came, kind, out = hit[order], going[order], np.empty(len(hit))
+    tries = np.bincount(going, minlength=len(GOOD))
+    first = np.repeat(np.cumsum(tries) - tries, tries)
+    came_before = np.append(0, np.cumsum(came))
+    since = came_before[1:] - came_before[first]
+    out[order] = (GOOD[kind] + since - came) / (TRIED[kind] + (np.arange(len(hit)) - first))
     return out
 
 
@@ -354,6 +435,7 @@ class Known:
 
     def add(self, words: list[bytes], model: Model, head: dict[bytes, float]) -> None:
         found = []
+        words = sorted(words)
         for at in range(0, len(words), WORDS_AT_ONCE):
             found += model.records(words[at : at + WORDS_AT_ONCE])
         self.numbers.update(zip(words, range(len(self.records), len(self.records) + len(words))))
@@ -361,6 +443,20 @@ class Known:
         self.lengths = np.append(self.lengths, np.fromiter(map(len, found), np.int64, len(found)))
         self.logs = np.append(self.logs, np.array([head.get(w, np.nan) for w in words], dtype=np.float64))
 
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of words, -1 for those that are not known."""
+        return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+
+    def only(self, head: dict[bytes, float]) -> Known:
+        """What is known of the words of the head, which come again soon."""
+        kept = Known()
+        words = [w for w in self.numbers if w in head]
+        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        kept.numbers = dict(zip(words, range(len(words))))
+        kept.records = [self.records[i] for i in at.tolist()]
+        kept.lengths, kept.logs = self.lengths[at], self.logs[at]
+        return kept
+
 
 _memo: dict[int, Known] = {}
 
@@ -377,14 +473,16 @@ def score_batches(batches: Iterator, model: Model, head: dict[bytes, float], sta
         for part in slices(batch, 128):
             texts = [[*words_of(t), END] for t in part["text"].to_pylist()]
             words = list(chain.from_iterable(texts))
-            numbers = list(map(known.numbers.get, words))
-            if None in numbers:
+            ids = known.find(words)
+            if len(ids) and ids.min() < 0:
                 if len(known.numbers) > MEMO:
-                    known = _memo[stamp] = Known()
-                known.add(list(set(words).difference(known.numbers)), model, head)
-                numbers = list(map(known.numbers.__getitem__, words))
-            ids = np.array(numbers, dtype=np.int64)
-            lengths, logs = known.lengths[ids], known.logs[ids]
+                    known = _memo[stamp] = known.only(head)
+                    ids = known.find(words)
+                absent = np.flatnonzero(ids < 0)
+                new = list(map(words.__getitem__, absent.tolist()))
+                known.add(list(set(new)), model, head)
+                ids[absent] = known.find(new)
+            lengths, logs, numbers = known.lengths[ids], known.logs[ids], ids.tolist()
             rows, end = [], 0
             for told in texts:
                 start, end = end, end + len(told)
@@ -487,7 +585,7 @@ def score_documents(docs: DataFrame, counts: DataFrame) -> DataFrame:
         least = row["least"]
     head = {} if least is None else {bytes(r["word"]): float(np.log10(r["n"] + 1)) for r in counts.where(F.col("n") >= least).collect()}
     end = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    stamp = zlib.crc32(model.weights.tobytes(), zlib.crc32(model.odds.tobytes()))
+    stamp = zlib.crc32(model.weights.tobytes(), zlib.crc32(model.told.tobytes()))
     call = in_tasks("llm.language_model", "score_batches", model, head, stamp)
     kind = "doc_id long, key long, n_tokens long, n_head long, head_sum double, score double, tail array<binary>"
     scored = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(call, kind), "scored")

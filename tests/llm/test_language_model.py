@@ -224,3 +224,59 @@ def test_repeats_against_a_loop():
             last[one, two] = word
             one, two = two, word
         assert [(a, bool(b), c) for a, b, c in zip(*(v.tolist() for v in lm.repeats(ids)))] == want
+
+
+def test_words_that_begin_alike_share_their_bits():
+    """In any order, with bytes of zero and beyond the bytes that are compared; every byte is worked out once."""
+    model, words = small_model()
+    words = [b"", b"a", b"a\0", b"a\0\0", b"ab", b"x" * 31, b"x" * 32, b"x" * 33, b"x" * 32 + b"y", b"x" * 80, *words]
+    alone = [model.records([w])[0] for w in words]
+    for order in (range(len(words)), sorted(range(len(words)), key=words.__getitem__), range(len(words) - 1, -1, -1)):
+        assert model.records([words[i] for i in order]) == [alone[i] for i in order]
+    told = lm.Spelled(lm.spelled([b"stand", b"standing", b"standings"]), model.tree)
+    assert len(told.size) == len("stand ") + len("ing ") + len("s ")
+    bits, ends = told.all_bits()
+    for k, place in enumerate(lm.bits_of(lm.spelled([b"stand", b"standing", b"standings"]), model.tree)[2]):
+        assert told.places[k][bits].tolist() == place.tolist()
+    assert ends[-1] == len(bits)
+
+
+def test_frequent_words_are_worked_out_once(monkeypatch):
+    """What a worker forgets are words outside the head only, and scores stay the same."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    model, _ = small_model()
+    head = {b"the": 2.0, b"cat": 1.5}
+    texts = [f"The cat sat{i} on{i} {'the ' * (i % 3)}mat{i}" for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    worked, records = Counter(), model.records
+
+    def count(words):
+        worked.update(words)
+        return records(words)
+
+    model.records = count
+    found = {}
+    for memo in (lm.MEMO, 5):
+        monkeypatch.setattr(lm, "MEMO", memo)
+        lm._memo.clear()
+        worked.clear()
+        found[memo] = [b.to_pydict() for b in lm.score_batches(iter([batch]), model, head, 1)]
+        assert worked[b"the"] == worked[b"cat"] == 1
+    assert found[5] == found[max(found)]
+    assert worked[lm.END] == 3  # a word outside the head, once for each part of 128 documents
+    lm._memo.clear()
+
+
+def test_shares_against_a_loop():
+    rng = np.random.default_rng(9)
+    for size in (1, 7, 400):
+        hit, going = rng.integers(0, 2, size), rng.integers(0, 4, size)
+        good, tried, want = lm.GOOD.copy(), lm.TRIED.copy(), []
+        for h, g in zip(hit, going):
+            want.append(good[g] / tried[g])
+            good[g] += h
+            tried[g] += 1
+        assert np.allclose(lm.shares(hit, going), want)
