@@ -51,8 +51,8 @@ WORDS_A_TASK, FAN_IN = 2_000_000, 16
 START, TOWARDS, SETTLED, MOST_STEPS = np.array([0.3] * TABLES), 50.0, 1e-3, 12
 PAIRS = [(j, k) for j in range(TABLES) for k in range(j, TABLES)]
 SUMS = ["loss", *(f"slope{k}" for k in range(TABLES)), *(f"bend{j}{k}" for j, k in PAIRS)]
-#: Entries that a worker keeps of what it has worked out; beyond, it starts anew.
-MEMO, COUNTED = 180_000, 300_000
+#: Entries that a worker keeps of what it has worked out; beyond, it starts anew. Of the words, the most frequent stay.
+MEMO, STAY, COUNTED = 110_000, 50_000, 300_000
 #: Words whose bits are worked out together, and the bytes at their beginning that are looked at for being shared.
 WORDS_AT_ONCE, SHARED = 1024, 32
 #: Log-odds are kept in steps of 1 / STEP; counts up to 255.
@@ -448,11 +448,10 @@ class Known:
         return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
 
     def only(self, head: dict[bytes, float]) -> Known:
-        """What is known of the words of the head, which come again soon."""
-        kept = Known()
-        words = [w for w in self.numbers if w in head]
-        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        kept.numbers = dict(zip(words, range(len(words))))
+        """What is known of the most frequent words, which come again soon."""
+        logs, kept, words = np.fromiter(head.values(), np.float64, len(head)), Known(), list(self.numbers)
+        at = np.flatnonzero(self.logs > (-np.inf if len(logs) <= STAY else np.partition(logs, -STAY - 1)[-STAY - 1]))
+        kept.numbers = {words[i]: number for number, i in enumerate(at.tolist())}
         kept.records = [self.records[i] for i in at.tolist()]
         kept.lengths, kept.logs = self.lengths[at], self.logs[at]
         return kept
@@ -585,7 +584,7 @@ def score_documents(docs: DataFrame, counts: DataFrame) -> DataFrame:
         least = row["least"]
     head = {} if least is None else {bytes(r["word"]): float(np.log10(r["n"] + 1)) for r in counts.where(F.col("n") >= least).collect()}
     end = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    stamp = zlib.crc32(model.weights.tobytes(), zlib.crc32(model.told.tobytes()))
+    stamp = zlib.crc32(model.weights.tobytes(), zlib.crc32(model.told))
     call = in_tasks("llm.language_model", "score_batches", model, head, stamp)
     kind = "doc_id long, key long, n_tokens long, n_head long, head_sum double, score double, tail array<binary>"
     scored = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(call, kind), "scored")
