@@ -181,6 +181,10 @@ class Spelled:
         self.like = (np.cumsum(fresh) - 1)[like]
         self.size = tree.length[data]
 
+    def summed(self, n: np.ndarray) -> np.ndarray:
+        """For each kept bit, how often it occurs in words that occur ``n`` times."""
+        return np.bincount(self.like, np.repeat(n, self.lengths)).astype(np.float32)[self.byte]
+
     def all_bits(self) -> tuple[np.ndarray, np.ndarray]:
         """Of all words, where each bit stands among the kept ones, and where the bits of each word end."""
         sizes, begin = self.size[self.like], (np.cumsum(self.size) - self.size)[self.like]
@@ -228,8 +232,7 @@ def table_batches(batches: Iterator, tree: Tree) -> Iterator:
     for batch in batches:
         for part in slices(batch.take(pc.sort_indices(batch["word"])), WORDS_AT_ONCE):
             told = Spelled(spelled(part["word"].to_pylist()), tree)
-            n = np.array(part["n"].to_pylist(), dtype=np.float64)
-            weight = np.bincount(told.like, np.repeat(n, told.lengths)).astype(np.float32)[told.byte]
+            weight = told.summed(np.array(part["n"].to_pylist(), dtype=np.float64))
             ones = told.bit * PLACES
             for place in told.places:
                 np.add.at(flat, place + ones, weight)
@@ -291,10 +294,8 @@ class Model:
             found = both[place].view(np.uint8).reshape(-1, 2)
             yield found[:, 0].view(np.int8) * sign, found[:, 1]
 
-    def inputs(self, words: list[bytes], own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all bits of spelled words: the word's number, the predictors' log-odds of the bit that
-        came, and the gate. ``own``: one occurrence of each word taken out of the counts."""
-        of, bit, places = bits_of(words, self.tree)
+    def looked_up(self, bit: np.ndarray, places: list[np.ndarray], own: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of bits in their places, the predictors' log-odds of the bit that came, and the gate."""
         x = np.empty((len(bit), TABLES), dtype=np.float32)
         seen = []
         for k, (odds, n) in enumerate(self.look(places, bit)):
@@ -304,13 +305,20 @@ class Model:
             else:
                 x[:, k] = odds.astype(np.float32) / STEP
             seen.append(n)
-        return of, x, WHOLE_GATE[seen[-1]] * 4 + FIVE_GATE[seen[-2]]
+        return x, WHOLE_GATE[seen[-1]] * 4 + FIVE_GATE[seen[-2]]
+
+    def inputs(self, words: list[bytes], own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all bits of spelled words: the word's number, the predictors' log-odds of the bit that
+        came, and the gate. ``own``: one occurrence of each word taken out of the counts."""
+        of, bit, places = bits_of(words, self.tree)
+        return of, *self.looked_up(bit, places, own)
 
     def slopes(self, words: list[bytes], n: np.ndarray) -> np.ndarray:
         """Of each gate's weights over words that occur ``n`` times: loss in nats, its slope and its curvature (``SUMS``)."""
-        of, x, gate = self.inputs(spelled(words), own=True)
+        told = Spelled(spelled(words), self.tree)
+        x, gate = self.looked_up(told.bit, told.places, own=True)
         order = np.argsort(gate.astype(np.uint8), kind="stable")
-        x, n, ends = x[order], n[of[order]].astype(np.float32), np.cumsum(np.bincount(gate, minlength=GATES))
+        x, n, ends = x[order], told.summed(n)[order], np.cumsum(np.bincount(gate, minlength=GATES))
         out = np.zeros((GATES, len(SUMS)))
         for g in np.flatnonzero(np.diff(ends, prepend=0)):
             at = slice(ends[g - 1] if g else 0, ends[g])
@@ -532,7 +540,7 @@ def slope_batches(batches: Iterator, model: Model) -> Iterator:
     """Sums of ``Model.slopes`` over all words of a task."""
     total = np.zeros((GATES, len(SUMS)))
     for batch in batches:
-        for part in slices(batch, WORDS_AT_ONCE):
+        for part in slices(batch.take(pc.sort_indices(batch["word"])), WORDS_AT_ONCE):
             total += model.slopes(part["word"].to_pylist(), np.array(part["n"].to_pylist(), dtype=np.float64))
     yield pa.RecordBatch.from_arrays([pa.array(range(GATES), pa.int32()), *map(pa.array, total.T)], ["gate", *SUMS])
 
