@@ -93,16 +93,19 @@ def arrivals(
 def current_observations(
     inputs: CycleInputs, log: DataFrame | None, p: RunParams
 ) -> DataFrame:
-    """The keyed table of this run: stored rows without stale provisionals, and the log."""
-    if inputs.observations is None:
-        if log is None:
-            raise ValueError("nothing stored and nothing arrived")
-        return resolve.resolve_observations(log)
-    known = inputs.observations
-    if "provisional" not in known.columns:
-        known = resolve.as_observations(known)
-    stored = resolve.purge_provisional(known, p)
-    return resolve.as_observations(stored) if log is None else resolve.apply_arrivals(stored, log)
+    """The keyed table of this run: stored rows and the log, all resolved, without stale provisionals.
+
+    Stored rows come before every arrival. A day is stale or not whatever its rows, so a purge of
+    the resolved table also keeps purged rows from coming back.
+    """
+    parts = [] if log is None else [log]
+    if inputs.observations is not None:
+        stored = resolve.as_observations(inputs.observations)
+        parts.insert(0, stored.withColumn("seq", F.lit(-1).cast("bigint")))
+    if not parts:
+        raise ValueError("nothing stored and nothing arrived")
+    whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return resolve.purge_provisional(resolve.resolve_observations(whole), p)
 
 
 def current_stations(inputs: CycleInputs) -> DataFrame:
