@@ -1,0 +1,80 @@
+"""Months whose files are too large to be parsed at once, and stand-in files of bounded size."""
+
+import io
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+import standins
+from highmark.params import RunParams
+from highmark.plans.bulk import bulk_load
+from highmark.schemas import MONTH_LEDGER, RAW_DAILY
+from highmark.sources import files, readers
+
+R = '{"indicativo":"a","fecha":"2020-01-01","tmax":"1"}'
+TEXTS = [
+    f"[{R},{R}]", f" [ {R} , {R} ]\r\n", "[]", "[ ]", " \n", R, R + R, f"[{R}] x", f"[{R},]", f"[{R},null]", "[null]", f"[{R},1]", f'[{R},"x"]',
+    f"[{R},[{R}]]", "null", "12", '"x"', "x", f"[{R},{R[:-3]}", f"[{R},{R}", f"[{R},", "[", "[,]", f"[,{R}]", f"[{R},,{R}]", f"[{R}{R}]", f"[{R}}}", "[}",
+    "[{'indicativo':'a}b\\'c'}]", '[{"indicativo":"]},{[\\\\"},{"fecha":{"x":[1,2,{"y":"}"}]},"tmax":15}]', '[{"indicativo":"a"]]',
+    '[{"tmax":"1","tmax":"2"}]', '[{"tmax":"\\q"}]', '[{"tmax":"a\tb"}]', '[{"tmax":true,"tmin":null}]', f"[{R} /*x*/]", "[{}]", "[{},{}]", '[{"TMAX":"3"}]',
+    "﻿" + f"[{R}]", '[{"indicativo":"ñ€","fecha":"😀"}]',
+]
+
+
+def test_pieces_give_what_the_reader_gives(spark, tmp_path):
+    months = [(1950 + i // 12, i % 12 + 1) for i in range(len(TEXTS) + 3)]
+    raw = [t.encode() for t in TEXTS] + [b'[{"indicativo":"\xff"}]', f"[{R},{R}]".encode("utf-16"), f"[{R}]".encode("utf-32-be")]
+    for (y, m), text in zip(months, raw, strict=True):
+        (tmp_path / str(y) / f"{m:02d}").mkdir(parents=True)
+        (tmp_path / str(y) / f"{m:02d}" / "all.json").write_bytes(text)
+    (tmp_path / "1950" / "01" / "two.json").write_text(f"[{R}]")
+    whole, pieces = (readers.months_with_failures(spark, str(tmp_path), months, n) for n in (1 << 20, 0))
+    for a, b in zip(whole, pieces, strict=True):
+        assert a.columns == b.columns
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert whole[1].count() > 15 and whole[0].count() > 15
+    # files on either side of the limit in one month
+    mixed, failed = readers.months_with_failures(spark, str(tmp_path), months[:2], len(R) + 3)
+    assert mixed.count() == 5 and failed.count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 64, 1 << 20])
+def test_elements_stay_whole_and_pieces_small(size):
+    rows = [{"a": f'{i} "]}},{{[\\', "b": ["x", {"c": i}] if i % 7 == 0 else "é'"} for i in range(60)]
+    text = json.dumps(rows, ensure_ascii=False, indent=1 if size > 2 else None)
+    got = list(files._pieces(io.BytesIO(text.encode()), size))
+    assert [row for piece in got for row in json.loads(piece)] == rows
+    assert max(map(len, got)) < 2 * size + 400
+    assert list(files._pieces(io.BytesIO(text[:-1].encode()), size))[-1] is None
+
+
+def test_a_large_month_is_loaded_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers.months_with_failures, "__defaults__", (1000,))
+    seen = []
+    monkeypatch.setattr(files, "read_arrays", lambda *a, of=files.read_arrays: seen.append(1) or of(*a))
+    for month, cut in ((1, 0), (2, 7), (3, 0)):
+        (tmp_path / "2020" / f"0{month}").mkdir(parents=True)
+        text = json.dumps([{"indicativo": f"s{i}", "fecha": f"2020-0{month}-01", "tmax": "1,5"} for i in range(2 if month == 3 else 3000)])
+        (tmp_path / "2020" / f"0{month}" / "all.json").write_text(text[: len(text) - cut])
+    got = bulk_load(spark, str(tmp_path), spark.createDataFrame([], MONTH_LEDGER), RunParams(as_of=date(2024, 6, 30)), 3)
+    assert seen
+    assert sorted((r.year, r.month, r.n_rows) for r in got.ledger.collect()) == [(2020, 1, 3000), (2020, 3, 2)]
+    assert [(r.year, r.month) for r in got.failed.collect()] == [(2020, 2)]
+    assert got.rows.groupBy("obs_date").count().count() == 2 and got.rows.count() == 3002
+
+
+def test_files_of_a_month_are_bounded(spark, tmp_path, monkeypatch):
+    """A day with more records than a file takes comes as several files, and no record is lost."""
+    monkeypatch.setattr(standins, "PAGE_RECORDS", 10)
+    line = "id l_orderkey, 1 l_partkey, id % 3 l_suppkey, 3 l_linenumber, 1D l_quantity, id * 1D l_extendedprice, 0D l_discount, 0D l_tax, 'N' l_returnflag, 'O' l_linestatus"
+    day = F.expr("timestamp_ntz'1999-03-04 00:00:00' + make_dt_interval(IF(id < 35, 0, 31))")
+    spark.range(40).withColumn("l_shipdate", day).selectExpr(*[x.strip() for x in line.split(",")], "l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = {r.path: json.loads(r.text) for r in standins.month_pages(spark, str(tmp_path)).collect()}
+    assert sorted((path, len(rows)) for path, rows in pages.items()) == [
+        ("1999/03/04-0.json", 10), ("1999/03/04-1.json", 10), ("1999/03/04-2.json", 10), ("1999/03/04-3.json", 5), ("1999/04/04-0.json", 5)
+    ]
+    text = lambda row: json.dumps(row, sort_keys=True)
+    want = [{k: v for k, v in r.asDict().items() if v is not None} for r in standins.raw_daily(spark, str(tmp_path)).select(RAW_DAILY.names).collect()]
+    assert sorted(text(r) for rows in pages.values() for r in rows) == sorted(map(text, want))
